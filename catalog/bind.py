@@ -192,7 +192,8 @@ def run_sql(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
 
 
 def raw(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return run_sql(spark, sf_dir, BINDINGS[table])
+    """A raw table as the landing stage stores it."""
+    return written(spark, sf_dir, f"raw_{table}", lambda: run_sql(spark, sf_dir, BINDINGS[table]))
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

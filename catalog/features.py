@@ -137,6 +137,7 @@ FROM (SELECT user_id AS stay_id, ts AS charttime, CAST(value AS DECIMAL(6,2)) AS
     mean = {v: half_up(f"SUM({cents(v)})", f"100 * COUNT({v})", 3) for v in ("heartrate", "sbp")}
     change = "(CAST(arg_max(heartrate, charttime) FILTER (WHERE heartrate IS NOT NULL) * 100 AS HUGEINT) - CAST(arg_min(heartrate, charttime) FILTER (WHERE heartrate IS NOT NULL) * 100 AS HUGEINT))"
     span = "(epoch_us(MAX(charttime) FILTER (WHERE heartrate IS NOT NULL)) - epoch_us(MIN(charttime) FILTER (WHERE heartrate IS NOT NULL)))"
+    slope = half_up(f"{change} * 36000000", span, 4)
     return f"""
 SELECT stay_id, COUNT(*) AS vital_row_count,
        {mean['heartrate']} AS hr_mean, CAST(MIN(heartrate) AS DOUBLE) AS hr_min, CAST(MAX(heartrate) AS DOUBLE) AS hr_max,
@@ -145,7 +146,7 @@ SELECT stay_id, COUNT(*) AS vital_row_count,
        COUNT(*) FILTER (WHERE heartrate >= 120) AS tachycardia_count,
        COUNT(*) FILTER (WHERE sbp < 90) AS hypotension_count,
        COUNT(*) FILTER (WHERE pain IS NULL) AS vital_pain_missing_count,
-       CASE WHEN {span} <> 0 THEN {half_up(f'{change} * 36000000', span, 4)} END AS hr_slope
+       CASE WHEN {span} <> 0 AND abs({slope}) < 10000 THEN {slope} END AS hr_slope
 FROM ({base}) GROUP BY stay_id
 """
 

@@ -117,7 +117,8 @@ _SI = "CASE WHEN sbp > 0 THEN CAST(heartrate AS DOUBLE) / CAST(sbp AS DOUBLE) EN
 
 
 def _r4(x: str) -> str:
-    return f"round(round({x}, 10), 4)"
+    """Half up at four decimals, not tipped by the last bits of a double."""
+    return f"(floor({x} * 10000 + 0.5 + 5e-7) / 10000)"
 
 
 def _stats(vital: str, prefix: str) -> str:
@@ -129,7 +130,9 @@ def _stats(vital: str, prefix: str) -> str:
 def _slope(v: str) -> str:
     span = f"(epoch_us({v}_last_time) - epoch_us({v}_first_time))"
     change = f"(CAST({cents(f'{v}_last')} AS HUGEINT) - {cents(f'{v}_first')})"
-    return f"CASE WHEN {span} <> 0 THEN {half_up(f'{change} * 36000000', span, 4)} END"
+    slope = half_up(f"{change} * 36000000", span, 4)
+    # numeric(8,4) holds no more than 9999.9999
+    return f"CASE WHEN {span} <> 0 AND abs({slope}) < 10000 THEN {slope} END"
 
 
 def _dx(col: str, kind: str) -> str:

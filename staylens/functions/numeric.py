@@ -110,33 +110,43 @@ def flag(condition: Column) -> Column:
     return F.when(condition, 1).otherwise(0)
 
 
-def _scaled(col: Column, digits: int) -> Column:
-    """|col| * 10^digits rounded to a whole number the way a binary float is
-    rounded: by its exact value, exact halves to even.
+def _scaled(col: Column, power: Column) -> Column:
+    """|col| * power rounded to a whole number the way a binary float is
+    rounded: by its exact value, exact halves to even. ``power`` is a power of
+    ten up to 10^6.
 
     The product is compared with the half; where it lands on the half, the
     part lost in the product decides. The halves of the split factor multiply
     without loss, so that part is exact.
     """
-    power = float(10**digits)
     x = F.abs(col.cast("double"))
-    product = x * F.lit(power)
+    product = x * power
     whole = F.floor(product).cast("double")
     part = product - whole
     big = x * F.lit(134217729.0)
     high = big - (big - x)
-    low = x - high
-    lost = (high * F.lit(power) - product) + low * F.lit(power)
+    lost = (high * power - product) + (x - high) * power
     up = (part > 0.5) | ((part == 0.5) & ((lost > 0) | ((lost == 0) & (whole % 2 == 1))))
     return F.when(up, whole + 1).otherwise(whole)
 
 
 def round_binary(col: Column, digits: int) -> Column:
     """Round a double by its exact binary value (0.125 to 0.12)."""
-    return F.signum(col.cast("double")) * _scaled(col, digits) / F.lit(float(10**digits))
+    power = F.lit(float(10**digits))
+    return F.signum(col.cast("double")) * _scaled(col, power) / power
+
+
+def format_scaled(col: Column, power: Column) -> Column:
+    """Fixed-decimals text of a double, rounded by its exact binary value;
+    ``power`` is ten to the number of decimals."""
+    scaled = _scaled(col, power).cast("bigint")
+    unit = power.cast("bigint")
+    whole = F.floor(scaled / unit).cast("string")
+    # The part is written behind a leading 1, which keeps its zeros.
+    part = F.substring((scaled % unit + unit).cast("string"), 2, 20)
+    text = F.when(unit == 1, whole).otherwise(F.concat(whole, F.lit("."), part))
+    return F.when(col < 0, F.concat(F.lit("-"), text)).when(col.isNotNull(), text)
 
 
 def format_fixed(col: Column, digits: int) -> Column:
-    """Fixed-decimals text of a double, rounded by its exact binary value."""
-    text = F.format_string(f"%.{digits}f", _scaled(col, digits) / F.lit(float(10**digits)))
-    return F.when(col < 0, F.concat(F.lit("-"), text)).when(col.isNotNull(), text)
+    return format_scaled(col, F.lit(float(10**digits)))
