@@ -118,12 +118,23 @@ def compare_counts(a: dict[str, DataFrame], b: dict[str, DataFrame]) -> DataFram
     return counts(a, "left_rows").join(counts(b, "right_rows"), "table_name")
 
 
+def side_by_side(*one_row: DataFrame) -> DataFrame:
+    """One-row frames with different columns as one row."""
+    stacked = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), one_row)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
+
+
 def union_all(dfs: list[DataFrame]) -> DataFrame:
     return reduce(lambda x, y: x.unionByName(y), dfs)
 
 
 # --- small reports ----------------------------------------------------------
 
+def inline_rows(one_row: DataFrame, entries: list[Column]) -> DataFrame:
+    """One output row per struct in ``entries``."""
+    return one_row.select(F.array(*entries).alias("_rows")).select(F.inline("_rows"))
+
+
 def value_counts(df: DataFrame, col: str) -> DataFrame:
     return df.groupBy(col).agg(F.count("*").alias("row_count"))
 
