@@ -130,9 +130,9 @@ def union_all(dfs: list[DataFrame]) -> DataFrame:
 
 # --- small reports ----------------------------------------------------------
 
-def inline_rows(one_row: DataFrame, entries: list[Column]) -> DataFrame:
-    """One output row per struct in ``entries``."""
-    return one_row.select(F.array(*entries).alias("_rows")).select(F.inline("_rows"))
+def inline_rows(one_row: DataFrame, entries: Column) -> DataFrame:
+    """One output row per struct of the array ``entries``."""
+    return one_row.select(entries.alias("_rows")).select(F.inline("_rows"))
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
