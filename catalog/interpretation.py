@@ -9,6 +9,7 @@ from catalog.oracle import with_ctes
 from staylens.functions import clinical
 from staylens.plans import interpret as I
 from staylens.schema import VITALS, VITAL_NAMES
+from staylens.session import spread
 
 K, C = "o_orderkey", "o_custkey"
 
@@ -103,7 +104,7 @@ def feature_rows(spark, sf):
 
 
 def interpreted(spark, sf):
-    stored = bind.written(spark, sf, "interpretation_input", lambda: feature_rows(spark, sf))
+    stored = bind.written(spark, sf, "interpretation_input", lambda: spread(feature_rows(spark, sf)))
     return I.interpret(stored, "score", "risk_label", "top").select(
         K, "clinical_interpretation.*"
     )

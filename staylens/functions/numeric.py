@@ -115,19 +115,21 @@ def _scaled(col: Column, power: Column) -> Column:
     rounded: by its exact value, exact halves to even. ``power`` is a power of
     ten up to 10^6.
 
-    The product is compared with the half; where it lands on the half, the
-    part lost in the product decides. The halves of the split factor multiply
+    The rounded product settles it unless it lands on a half; then the part
+    lost in the product decides. The halves of the split factor multiply
     without loss, so that part is exact.
     """
     x = F.abs(col.cast("double"))
     product = x * power
-    whole = F.floor(product).cast("double")
-    part = product - whole
     big = x * F.lit(134217729.0)
     high = big - (big - x)
     lost = (high * power - product) + (x - high) * power
-    up = (part > 0.5) | ((part == 0.5) & ((lost > 0) | ((lost == 0) & (whole % 2 == 1))))
-    return F.when(up, whole + 1).otherwise(whole)
+    return (
+        F.when(product - F.floor(product) != 0.5, F.rint(product))
+        .when(lost > 0, F.ceil(product).cast("double"))
+        .when(lost < 0, F.floor(product).cast("double"))
+        .otherwise(F.rint(product))
+    )
 
 
 def round_binary(col: Column, digits: int) -> Column:
@@ -136,17 +138,12 @@ def round_binary(col: Column, digits: int) -> Column:
     return F.signum(col.cast("double")) * _scaled(col, power) / power
 
 
-def format_scaled(col: Column, power: Column) -> Column:
+def format_scaled(col: Column, power: Column, digits: Column) -> Column:
     """Fixed-decimals text of a double, rounded by its exact binary value;
-    ``power`` is ten to the number of decimals."""
-    scaled = _scaled(col, power).cast("bigint")
-    unit = power.cast("bigint")
-    whole = F.floor(scaled / unit).cast("string")
-    # The part is written behind a leading 1, which keeps its zeros.
-    part = F.substring((scaled % unit + unit).cast("string"), 2, 20)
-    text = F.when(unit == 1, whole).otherwise(F.concat(whole, F.lit("."), part))
-    return F.when(col < 0, F.concat(F.lit("-"), text)).when(col.isNotNull(), text)
+    ``power`` is ten to the ``digits``."""
+    value = F.signum(col.cast("double")) * _scaled(col, power) / power
+    return F.replace(F.call_function("format_number", value, digits), F.lit(","), F.lit(""))
 
 
 def format_fixed(col: Column, digits: int) -> Column:
-    return format_scaled(col, F.lit(float(10**digits)))
+    return format_scaled(col, F.lit(float(10**digits)), F.lit(digits))

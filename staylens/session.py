@@ -16,6 +16,10 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # The JVM does not compile methods beyond 8000 bytes of bytecode. The wide
+    # aggregates and rule expressions would pass that as one generated method;
+    # with this limit they are generated in pieces.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -39,6 +43,13 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df):
+    """Give every core a part where the input is only a few files. An input of
+    many files is left as it is read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def cut_lineage(df):
     """Write ``df`` to the shared folder and read it back, so that it is
     computed once and survives lost executors."""
