@@ -95,6 +95,19 @@ def test_table_operators(spark, tmp_path):
     assert sorted(r["failing_columns"] for r in bad.collect()) == [["k"], ["k"], ["v"]]
 
 
+def test_catalog_tables(spark):
+    df = spark.createDataFrame([("m", "1", 1), ("m", "2", 2)], "model_name string, model_version string, v int")
+    keys = ["model_name", "model_version"]
+    tables.replace_slice(df, "slices", keys)
+    out = tables.replace_slice(df.where("v = 2").withColumn("v", F.lit(9)), "slices", keys)
+    assert sorted(r["v"] for r in out.collect()) == [1, 9]
+    assert tables.save_table(df, "kept").count() == 2
+    assert tables.save_table(df.where("v = 1"), "kept").count() == 1
+    tables.backup_if_absent({"kept": df})
+    assert tables.backup_if_absent({"kept": df.where("v = 1")})["kept"].count() == 2
+    assert tables.ensure_table(spark, "empty", "a int").columns == ["a"]
+
+
 def test_contract_diff_and_top_k(spark):
     df = spark.createDataFrame([({"a": 1.0, "z": None},), ({"a": None, "b": 2.0},)], "f map<string,double>")
     missing, unknown = arrays.contract_diff(F.col("f"), ["b", "a"])
