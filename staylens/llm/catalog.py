@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from staylens.llm import token_counts
+from staylens.llm import packing, simhash, token_counts
 from staylens.llm.shared import documents
 
 
@@ -12,6 +12,14 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir))
 
 
-QUERIES = {q.__name__: q for q in (op2_token_counts,)}
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir))
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_texts(documents(spark, sf_dir))
+
+
+QUERIES = {q.__name__: q for q in (op2_token_counts, op5_simhash_near_dedup, op7_packing)}
 
 ORACLES: dict[str, str] = {}
