@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from staylens.llm import packing, simhash, token_counts
+from staylens.llm import decontaminate, packing, simhash, sketches, token_counts
 from staylens.llm.shared import documents
 
 
@@ -12,6 +12,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir))
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketches.fingerprints(documents(spark, sf_dir))
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
@@ -20,6 +24,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_texts(documents(spark, sf_dir))
 
 
-QUERIES = {q.__name__: q for q in (op2_token_counts, op5_simhash_near_dedup, op7_packing)}
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+QUERIES = {q.__name__: q for q in (op2_token_counts, op4_fingerprints, op5_simhash_near_dedup, op7_packing, op8_decontamination)}
 
 ORACLES: dict[str, str] = {}

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staylens.llm.shared import keyed_texts, tokenizer_path
+from staylens.llm.shared import in_blocks, keyed_texts, tokenizer_path
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
@@ -223,18 +223,6 @@ def word_ids(path: str) -> WordIds:
     return _IDS[path]
 
 
-def in_blocks(texts: list[str], rows: int = 256, chars: int = 4_000_000) -> Iterator[tuple[int, int]]:
-    """Ranges of rows that hold a bounded number of characters, one row at least."""
-    start = size = 0
-    for i, t in enumerate(texts):
-        if i > start and (i - start >= rows or size + len(t) > chars):
-            yield start, i
-            start, size = i, 0
-        size += len(t)
-    if texts:
-        yield start, len(texts)
-
-
 def _pack(rows: DataFrame, examples: Callable[[pa.RecordBatch], Iterator[Example]], limits: Limits, cut: bool) -> DataFrame:
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds: list[pa.DataType] = []

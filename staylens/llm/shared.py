@@ -5,11 +5,11 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of one Arrow batch are bounded by count, so batches of long texts are cut further in the tasks.
 SEED = 42
 
 
@@ -62,3 +62,15 @@ def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
+
+
+def in_blocks(texts: list[str], rows: int = 256, chars: int = 4_000_000) -> Iterator[tuple[int, int]]:
+    """Ranges of rows that hold a bounded number of characters, one row at least."""
+    start = size = 0
+    for i, t in enumerate(texts):
+        if i > start and (i - start >= rows or size + len(t) > chars):
+            yield start, i
+            start, size = i, 0
+        size += len(t)
+    if texts:
+        yield start, len(texts)

@@ -24,12 +24,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from staylens.llm.shared import keyed_texts, tokenizer_path
+from staylens.llm.shared import in_blocks, keyed_texts, tokenizer_path
 
 VOCABULARY = "byte_bpe_50k.json"
 LIMIT = 1024
 #: Chunks whose tables one Python worker keeps; the cache is emptied when full.
-CACHE = 300_000
+CACHE = 600_000
 
 #: The pattern of the byte-level vocabulary. White space is written out, since libraries differ on it.
 SPACE = "\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -70,6 +70,7 @@ class PrefixCounts:
         self.longest = max(map(len, self.tokens))
         self.may_follow: dict[tuple[bytes, bytes], bool] = {}
         self.chunks: dict[str, bytes | list[int]] = {}
+        self.latest: tuple[bytes, list[int], list[bytes]] = (b"", [0], [b""])
 
     def end_parts(self, token: bytes, side: int) -> list[tuple[bytes, int]]:
         """The parts that stand at the left (0) or right (1) end of a token while
@@ -106,16 +107,26 @@ class PrefixCounts:
         return known
 
     def piece(self, data: bytes) -> list[int]:
-        """Token counts of ``data[:i]`` for i from 0 to its length."""
-        counts, last, tokens, fits, longest = [0], [b""], self.tokens, self.fits, self.longest
-        for end in range(1, len(data) + 1):
+        """Token counts of ``data[:i]`` for i from 0 to its length. The prefix that it
+        shares with the piece before it is not computed again."""
+        before, counts, last = self.latest
+        shared = 0
+        for a, b in zip(before, data):
+            if a != b:
+                break
+            shared += 1
+        counts, last = counts[: shared + 1], last[: shared + 1]
+        tokens, fits, longest = self.tokens, self.fits, self.longest
+        for end in range(shared + 1, len(data) + 1):
             for start in range(max(0, end - longest), end):
                 token = data[start:end]
                 if token in tokens and (not start or fits(last[start], token)):
                     counts.append(counts[start] + 1)
                     last.append(token)
                     break
-        return counts
+        if len(data) < 100:
+            self.latest = data, counts, last
+        return counts[:]
 
     def table(self, chunk: str) -> list[int]:
         """Counts at every byte prefix of a chunk, each as if the text ended there.
@@ -123,6 +134,8 @@ class PrefixCounts:
         White space at the end of a text is one piece, while its last character
         leaves it when a word follows; so its prefixes are counted by themselves.
         """
+        if chunk.isalpha() or chunk[0] == " " and chunk[1:].isalpha():  # one piece
+            return self.piece(chunk.encode("utf-8"))
         white = WHITE.match(chunk)[0]
         counts, base, at = [0, 1][: len(white) + 1] if white in ("", " ") else self.piece(white.encode("utf-8")), 0, 0
         for piece in PIECES.findall(chunk):
@@ -159,9 +172,17 @@ class PrefixCounts:
             at = span[1]
         return out
 
-    def count(self, text: str, limit: int) -> tuple[int, int]:
-        """Tokens of the whole text, and how many bytes the longest prefix of at most ``limit`` tokens has."""
-        chunks, known = self.cut(text), self.chunks
+    def count_all(self, texts: list[str], limit: int) -> list[tuple[int, int]]:
+        """Per text, its tokens and how many bytes the longest prefix of at most ``limit`` tokens has."""
+        cuts = list(map(self.cut, texts))
+        new = {c for chunks in cuts for c in chunks if c not in self.chunks}
+        new.discard(None)
+        for chunk in sorted(new):  # in this order neighbours share long prefixes
+            self.of_chunk(chunk)
+        return [self.count(t, chunks, limit) for t, chunks in zip(texts, cuts)]
+
+    def count(self, text: str, chunks: list[str | None], limit: int) -> tuple[int, int]:
+        known = self.chunks
         try:
             totals = [known[c][-1] for c in chunks]
         except KeyError:
@@ -206,7 +227,7 @@ def token_counts(df: DataFrame, path: str | None = None, limit: int = LIMIT, key
         counts = counter(path)
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            found = [counts.count(t, limit) for t in texts]
+            found = [x for a, b in in_blocks(texts) for x in counts.count_all(texts[a:b], limit)]
             n = pa.array([x[0] for x in found], pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
