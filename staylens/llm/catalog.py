@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from staylens.llm import decontaminate, packing, simhash, sketches, token_counts
+from staylens.llm import decontaminate, packing, pii, simhash, sketches, substring, token_counts
 from staylens.llm.shared import documents
 
 
@@ -12,6 +12,11 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text that loses something; all others stay as they are."""
+    return substring.without_repeats(documents(spark, sf_dir))
+
+
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketches.fingerprints(documents(spark, sf_dir))
 
@@ -28,6 +33,12 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-QUERIES = {q.__name__: q for q in (op2_token_counts, op4_fingerprints, op5_simhash_near_dedup, op7_packing, op8_decontamination)}
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(documents(spark, sf_dir))
+
+
+QUERIES = {q.__name__: q for q in (
+    op2_token_counts, op3_substring_dedup, op4_fingerprints, op5_simhash_near_dedup, op7_packing, op8_decontamination, op10_pii,
+)}
 
 ORACLES: dict[str, str] = {}
