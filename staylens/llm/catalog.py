@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from staylens.llm import decontaminate, packing, pii, simhash, sketches, substring, token_counts
+from staylens.llm import decontaminate, packing, pii, quality, simhash, sketches, substring, token_counts
 from staylens.llm.shared import documents
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir))
 
@@ -38,7 +42,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {q.__name__: q for q in (
-    op2_token_counts, op3_substring_dedup, op4_fingerprints, op5_simhash_near_dedup, op7_packing, op8_decontamination, op10_pii,
+    op1_quality, op2_token_counts, op3_substring_dedup, op4_fingerprints, op5_simhash_near_dedup, op7_packing, op8_decontamination, op10_pii,
 )}
 
 ORACLES: dict[str, str] = {}
