@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from staylens.llm import decontaminate, packing, pii, quality, simhash, sketches, substring, token_counts
+from staylens.llm import decontaminate, language, packing, pii, quality, revisit, simhash, sketches, substring, token_counts
 from staylens.llm.shared import documents
 
 
@@ -29,6 +30,10 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(spark.read.parquet(f"{sf_dir}/pages.parquet"), documents(spark, sf_dir))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_texts(documents(spark, sf_dir))
 
@@ -37,12 +42,65 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+#: How much later than a page its revisit is.
+REVISIT_AFTER = 5000
+
+
+def captures(pages: DataFrame) -> DataFrame:
+    """Each page as a full response at the time of its number, and one revisit of it
+    later, by another form of its address, with the validator that the page had."""
+    tag = F.md5(F.coalesce("html", F.lit("")).cast("binary"))
+    page = pages.select("page_id", "url", tag.alias("tag"), F.char_length(F.coalesce("html", F.lit(""))).cast("string").alias("size"))
+    response = page.select(
+        (F.col("page_id") * 2).alias("record_id"), "url", F.col("page_id").alias("at"), F.lit("response").alias("kind"),
+        F.create_map(F.lit("Content-Type"), F.lit("text/html"), F.lit("Content-Length"), "size", F.lit("ETag"), "tag", F.lit("Date"), F.col("page_id").cast("string")).alias("headers"),
+        F.col("tag").alias("digest"),
+    )
+    at = F.col("page_id") + REVISIT_AFTER
+    again = page.select(
+        (F.col("page_id") * 2 + 1).alias("record_id"), F.concat("url", F.lit("#again")).alias("url"), at.alias("at"), F.lit("revisit").alias("kind"),
+        F.create_map(F.lit("Date"), at.cast("string"), F.lit("ETag"), F.concat(F.lit("W/"), "tag"), F.lit("Content-Length"), F.lit("0"), F.lit("Cache-Control"), F.lit("max-age=60")).alias("headers"),
+        F.lit(None).cast("string").alias("digest"),
+    )
+    return response.union(again)
+
+
+def op9_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return revisit.resolve(captures(spark.read.parquet(f"{sf_dir}/pages.parquet")))
+
+
+OP9_SQL = r"""
+WITH parts AS (
+  SELECT page_id, md5(coalesce(html, '')) AS tag, CAST(length(coalesce(html, '')) AS VARCHAR) AS size,
+    regexp_replace(lower(regexp_extract(coalesce(url, ''), '^(?:[A-Za-z][A-Za-z0-9+.-]*://)?([^/?#]*)', 1)), '^www\.|:80$|:443$', '', 'g') AS host,
+    regexp_replace(regexp_extract(coalesce(url, ''), '^(?:[A-Za-z][A-Za-z0-9+.-]*://)?([^/?#]*)([^?#]*)', 2), '/+$', '') AS path,
+    array_to_string(list_sort(list_filter(string_split(regexp_extract(coalesce(url, ''), '^[^?#]*\?([^#]*)', 1), '&'),
+      lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[a-z]+|ref|fbclid|gclid)(=|$)'))), '&') AS query
+  FROM pages
+), page AS (
+  SELECT page_id, tag, size, host || path || CASE WHEN query <> '' THEN '?' || query ELSE '' END AS canonical FROM parts
+), found AS (
+  SELECT v.page_id, v.canonical, v.tag, r.page_id AS r_id, r.tag AS r_tag, r.size AS r_size,
+    row_number() OVER (PARTITION BY v.page_id ORDER BY r.page_id DESC NULLS LAST) AS k
+  FROM page v LEFT JOIN page r ON r.canonical = v.canonical AND r.page_id < v.page_id + 5000
+)
+SELECT page_id * 2 + 1 AS record_id, canonical, page_id + 5000 AS "at",
+  CASE WHEN r_id IS NULL THEN 'no_response' WHEN tag = r_tag THEN 'resolved' ELSE 'changed' END AS status,
+  r_id * 2 AS response_id, r_id AS response_at, r_tag AS digest,
+  CASE WHEN tag = r_tag
+    THEN 'cache-control: max-age=60; content-length: ' || r_size || '; content-type: text/html; date: ' || (page_id + 5000) || '; etag: W/' || tag
+    ELSE 'cache-control: max-age=60; content-length: 0; date: ' || (page_id + 5000) || '; etag: W/' || tag END AS headers
+FROM found WHERE k = 1
+""".replace("\\\\", "\\")
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(documents(spark, sf_dir))
 
 
 QUERIES = {q.__name__: q for q in (
-    op1_quality, op2_token_counts, op3_substring_dedup, op4_fingerprints, op5_simhash_near_dedup, op7_packing, op8_decontamination, op10_pii,
+    op1_quality, op2_token_counts, op3_substring_dedup, op4_fingerprints, op5_simhash_near_dedup,
+    op6_language, op7_packing, op8_decontamination, op9_revisits, op10_pii,
 )}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op9_revisits": OP9_SQL}
