@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from staylens.llm import decontaminate, language, packing, pii, quality, revisit, simhash, sketches, substring, token_counts
 from staylens.llm.shared import documents
 
@@ -103,4 +104,6 @@ QUERIES = {q.__name__: q for q in (
     op6_language, op7_packing, op8_decontamination, op9_revisits, op10_pii,
 )}
 
+QUERIES["pipeline"] = corpus_pipeline.run
+
 ORACLES: dict[str, str] = {"op9_revisits": OP9_SQL}

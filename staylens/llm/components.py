@@ -25,6 +25,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """
     now = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
     mark = None
+    if now.isEmpty():
+        return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
     for _ in range(rounds):
         both = now.union(now.select("b", "a"))
         large = both.join(stored(_smallest(both)), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))

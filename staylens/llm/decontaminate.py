@@ -104,7 +104,8 @@ def leaks(
     parts, rare = weighted(items)
     wanted = items.select("item_id", F.col("n_words").alias("item_words"), F.posexplode("shingles").alias("item_at", "h"))
     wanted = wanted.select("item_words", "item_at", "h").distinct()
-    wanted = F.broadcast(wanted) if items.agg(F.sum(F.size("shingles"))).first()[0] or 0 <= BROADCAST_ROWS else wanted
+    if (items.agg(F.sum(F.size("shingles"))).first()[0] or 0) <= BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
 
     texts = with_shingles(keyed_texts(df, key, text).withColumn("digest", F.xxhash64("text")), words).drop("text")
     # The outer form: for the other, Spark would infer a filter on the array and push it below the words, to compute all again.
