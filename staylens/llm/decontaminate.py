@@ -1,9 +1,9 @@
 """Benchmark decontamination by SimHash of item-sized windows.
 
-A window has as many words as the benchmark item it is held against. A window can
-only be similar to an item if the two share a shingle, so windows are placed where
-a text holds a shingle of an item, at the start that lines the two up; no other
-window could pass. Each window gets a SimHash. It is cut into radius + 1 blocks; a
+A window has as many words as the benchmark item it is held against, less where the
+text begins or ends inside it. A window can only be similar to an item if the two
+share a shingle, so windows are placed where a text holds a shingle of an item, at
+the start that lines the two up. Each window gets a SimHash. It is cut into radius + 1 blocks; a
 fingerprint within the radius of an item's agrees with it in one block at least, so
 joining on (words, block, bits of the block) finds all of them. What is found is
 checked by weighted-shingle similarity, exactly. All of it is built-in functions of
@@ -110,8 +110,10 @@ def leaks(
     texts = with_shingles(keyed_texts(df, key, text).withColumn("digest", F.xxhash64("text")), words).drop("text")
     # The outer form: for the other, Spark would infer a filter on the array and push it below the words, to compute all again.
     hits = texts.select("doc_id", "digest", "shingles", F.posexplode_outer("shingles").alias("at", "h")).join(wanted, "h")
-    start = F.greatest(F.col("at") - F.col("item_at"), F.lit(0))
-    windows = hits.select("doc_id", "digest", "item_words", start.alias("start_word"), F.slice("shingles", start + 1, F.greatest(F.col("item_words") - (words - 1), F.lit(1))).alias("window"))
+    start = F.col("at") - F.col("item_at")
+    length = F.col("item_words") - (words - 1) + F.least(start, F.lit(0))
+    window = F.slice("shingles", F.greatest(start, F.lit(0)) + 1, F.greatest(length, F.lit(1)))
+    windows = hits.select("doc_id", "digest", "item_words", start.alias("start_word"), window.alias("window"))
     windows = stored(windows.groupBy("doc_id", "digest", "item_words", "start_word").agg(F.first("window").alias("window")))
 
     signed = windows.withColumn("bits", simhash(F.col("window")))
@@ -122,7 +124,7 @@ def leaks(
     distance = F.bit_count(F.col("bits").bitwiseXOR(F.col("item_bits")))
     near = slots.join(item_slots, ["n_words", "block", "value"]).where(distance <= radius).select("_id", "item_id", distance.alias("distance")).distinct()
     checked = near.join(signed, "_id").join(item_bits, "item_id").withColumn("similarity", similarity(F.col("window"), F.col("parts"), rare))
-    return checked.where(F.col("similarity") >= at_least).select("doc_id", "digest", "item_id", "start_word", "n_words", "distance", "similarity")
+    return checked.where(F.col("similarity") >= at_least).select("doc_id", "digest", "item_id", F.greatest("start_word", F.lit(0)).alias("start_word"), "n_words", "distance", "similarity")
 
 
 def without_leaks(df: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

@@ -10,8 +10,9 @@ missed.
 Equal fingerprints are one class from the start. A bucket of up to ``BUCKET``
 different fingerprints is compared in full, inside one task, and only the edges of
 its own components leave it. A larger bucket is covered again over the positions
-that its mask left out: each step about halves them, so that after a few steps no
-bucket can be larger, whatever the input holds.
+that its mask left out, which each step about halves. Where few positions are left,
+so that masks split no further, it is dealt into chunks, and each pair of chunks is
+compared in a task of its own: all pairs are seen, none is emitted but the edges.
 
 Three-word shingles at radius 3 miss most texts that share 80 % of their five-word
 shingles, which differ in ten bits or more. For these, ``WIDE`` takes each different
@@ -22,6 +23,7 @@ that similarity do (9.7 on average, two standard deviations more at most).
 
 from __future__ import annotations
 
+import random
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -39,6 +41,8 @@ RADIUS = 3
 WORDS = 3
 #: Different fingerprints that one task compares in full.
 BUCKET = 4096
+#: Free positions from which on a bucket that is too large is covered again.
+FREE = 17
 
 
 @dataclass(frozen=True)
@@ -65,9 +69,10 @@ def signed(x: int) -> int:
 
 def masks(positions: list[int], radius: int) -> list[int]:
     """One mask per non-zero vector of ``radius + 1`` bits, over these positions."""
-    vectors = (1 << radius + 1) - 1
-    given = {p: i % vectors + 1 for i, p in enumerate(positions)}
-    return [sum(1 << p for p, m in given.items() if (m & v).bit_count() % 2) for v in range(1, vectors + 1)]
+    vectors = list(range(1, 1 << radius + 1))
+    random.Random(SEED).shuffle(vectors)  # in order, a few positions would get vectors that are all alike
+    given = {p: vectors[i % len(vectors)] for i, p in enumerate(positions)}
+    return [sum(1 << p for p, m in given.items() if (m & v).bit_count() % 2) for v in vectors]
 
 
 def fingerprint(text: str, words: int = WORDS, once: bool = False) -> int:
@@ -163,7 +168,15 @@ def _level(rows: DataFrame, level_masks: DataFrame, rule: Rule) -> tuple[DataFra
     counts = stored(keyed.groupBy("mask", "slot").agg(F.count("*").alias("n")).where("n > 1"))
     shared = stored(keyed.join(counts, ["mask", "slot"]))
     small = shared.where(F.col("n") <= rule.bucket).groupBy("mask", "slot").agg(F.collect_list(F.struct("bits", "check")).alias("found"))
-    return stored(bucket_edges(small, rule).distinct()), shared.where(F.col("n") > rule.bucket).select("mask", "bits", "check")
+    return stored(bucket_edges(small, rule).distinct()), shared.where(F.col("n") > rule.bucket)
+
+
+def _chunk_edges(rows: DataFrame, rule: Rule) -> DataFrame:
+    """Edges inside buckets that masks split no further, from each pair of chunks."""
+    chunks = F.ceil(F.col("n") * 2 / F.lit(rule.bucket)).cast("int")
+    dealt = rows.withColumn("i", F.pmod(F.xxhash64("bits", "check"), chunks).cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), chunks - 1)))
+    pairs = dealt.groupBy("mask", "slot", F.least("i", "j").alias("low"), F.greatest("i", "j").alias("high"))
+    return stored(bucket_edges(pairs.agg(F.collect_list(F.struct("bits", "check")).alias("found")), rule).distinct())
 
 
 def near_edges(distinct: DataFrame, rule: Rule = NARROW) -> DataFrame:
@@ -171,13 +184,18 @@ def near_edges(distinct: DataFrame, rule: Rule = NARROW) -> DataFrame:
     linked pairs of the different ``(bits, check)``."""
     spark = distinct.sparkSession
     edges = spark.createDataFrame([], "a string, b string")
+    free = lambda m: [p for p in range(BITS) if not m >> p & 1]
     rows, at = distinct.select(F.lit(0).cast("bigint").alias("mask"), "bits", "check"), [0]
     while at:
-        pairs = [(m, m | more) for m in at for more in masks([p for p in range(BITS) if not m >> p & 1], rule.radius)]
-        pairs = [(a, b) for a, b in pairs if a != b or a == (1 << BITS) - 1]
-        found, rows = _level(rows, spark.createDataFrame([(signed(a), signed(b)) for a, b in pairs], "mask bigint, keep bigint"), rule)
+        pairs = [(signed(m), signed(m | more)) for m in at for more in masks(free(m), rule.radius)]
+        found, large = _level(rows, spark.createDataFrame(pairs, "mask bigint, keep bigint").distinct(), rule)
         edges = edges.union(found)
-        at = [r[0] & (1 << BITS) - 1 for r in rows.select("mask").distinct().collect()]  # masks in use, made from parameters
+        full = [r[0] & (1 << BITS) - 1 for r in large.select("mask").distinct().collect()]  # masks in use, made from parameters
+        at = [m for m in full if len(free(m)) >= FREE]
+        if len(at) < len(full):
+            last = [signed(m) for m in full if len(free(m)) < FREE]
+            edges = edges.union(_chunk_edges(large.where(F.col("mask").isin(last)), rule))
+        rows = large.where(F.col("mask").isin([signed(m) for m in at])).select("mask", "bits", "check")
     return edges.distinct()
 
 
