@@ -28,8 +28,8 @@ from staylens.llm.shared import in_blocks, keyed_texts, tokenizer_path
 
 VOCABULARY = "byte_bpe_50k.json"
 LIMIT = 1024
-#: Chunks whose tables one Python worker keeps; the cache is emptied when full.
-CACHE = 600_000
+#: Chunks whose tables one Python worker keeps: so many newer ones, and as many used before them.
+CACHE = 400_000
 
 #: The pattern of the byte-level vocabulary. White space is written out, since libraries differ on it.
 SPACE = "\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -70,6 +70,7 @@ class PrefixCounts:
         self.longest = max(map(len, self.tokens))
         self.may_follow: dict[tuple[bytes, bytes], bool] = {}
         self.chunks: dict[str, bytes | list[int]] = {}
+        self.older: dict[str, bytes | list[int]] = {}
         self.latest: tuple[bytes, list[int], list[bytes]] = (b"", [0], [b""])
 
     def end_parts(self, token: bytes, side: int) -> list[tuple[bytes, int]]:
@@ -150,12 +151,13 @@ class PrefixCounts:
     def of_chunk(self, chunk: str) -> bytes | list[int]:
         known = self.chunks.get(chunk)
         if known is None:
-            known = self.table(chunk)
-            if known[-1] < 256:
-                known = bytes(known)
+            known = self.older.get(chunk)
+            if known is None:
+                known = self.table(chunk)
+                known = bytes(known) if known[-1] < 256 else known
             if len(chunk) < 100:
                 if len(self.chunks) >= CACHE:
-                    self.chunks.clear()
+                    self.older, self.chunks = self.chunks, {}
                 self.chunks[chunk] = known
         return known
 
@@ -177,6 +179,9 @@ class PrefixCounts:
         cuts = list(map(self.cut, texts))
         new = {c for chunks in cuts for c in chunks if c not in self.chunks}
         new.discard(None)
+        if len(self.chunks) + len(new) > CACHE:
+            self.older, self.chunks = self.chunks, {}
+            new = {c for chunks in cuts for c in chunks if c is not None}
         for chunk in sorted(new):  # in this order neighbours share long prefixes
             self.of_chunk(chunk)
         return [self.count(t, chunks, limit) for t, chunks in zip(texts, cuts)]
