@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from staylens import schema as S
-from staylens.session import configure, cut_lineage, spread
+from staylens.session import configure, cut_lineage
 
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -194,7 +194,7 @@ def run_sql(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
 def raw(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """A raw table as the landing stage stores it."""
     return written(
-        spark, sf_dir, f"raw_{table}", lambda: spread(run_sql(spark, sf_dir, BINDINGS[table]))
+        spark, sf_dir, f"raw_{table}", lambda: run_sql(spark, sf_dir, BINDINGS[table])
     )
 
 

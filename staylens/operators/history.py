@@ -60,7 +60,8 @@ def prior_totals(
     told = events.where(F.col("at").isNotNull() & F.col(entity).isNotNull()).select(
         entity, "at", *measures
     )
-    timeline = asked.unionByName(told, allowMissingColumns=True).withColumn(
+    placed = asked.where(F.col(entity).isNotNull() & F.col("at").isNotNull())
+    timeline = placed.unionByName(told, allowMissingColumns=True).withColumn(
         "_day", F.expr(f"(at - pmod(at, {DAY_MICROS})) div {DAY_MICROS}")
     )
 
@@ -91,9 +92,14 @@ def prior_totals(
         parts = [F.col(f"_days_{m}"), F.col(f"_today_{m}")]
         return numeric.sum_zero(*parts) if how == "sum" else F.greatest(*parts)
 
+    # Rows without entity or time have nothing before them; they need no grouping.
+    unplaced = F.col(entity).isNull() | F.col("at").isNull()
+    nothing = asked.where(unplaced).select(
+        key, "_ask", *[F.lit(0 if how == "sum" else None).alias(m) for m, how in measures.items()]
+    )
     answers = today.join(carried, [entity, "_day"]).select(
         key, "_ask", *[both(m, how).alias(m) for m, how in measures.items()]
-    )
+    ).unionByName(nothing)
 
     def at(p: Prior, ask: int):
         return F.max(F.when(F.col("_ask") == ask, F.col(p.value)))

@@ -9,7 +9,7 @@ from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, Log
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from staylens import schema as S
@@ -94,12 +94,17 @@ def impute(df: DataFrame, fills: dict[str, float]) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c), F.lit(float(v))) for c, v in fills.items()})
 
 
+def filled_with(column: str, median: float) -> Column:
+    """The model's input, alike in training and serving: NULL, NaN and infinity give way to the median."""
+    return F.coalesce(finite(F.col(column).cast("double")), F.lit(float(median)))
+
+
 def class_weight(counts: dict[int, int]) -> float:
     return counts.get(0, 0) / counts[1] if counts.get(1) else 1.0
 
 
 def _assemble(df: DataFrame, features: list[str], medians: dict[str, float]) -> DataFrame:
-    filled = df.select("*", *[F.coalesce(F.col(c), F.lit(float(medians[c]))).alias(f"_x_{c}") for c in features])
+    filled = df.select("*", *[filled_with(c, medians[c]).alias(f"_x_{c}") for c in features])
     vector = VectorAssembler(
         inputCols=[f"_x_{c}" for c in features], outputCol="_features", handleInvalid="keep"
     ).transform(filled)

@@ -177,132 +177,276 @@ FEATURE_GROUPS = {
     ),
 }
 
-# Description and future source of the history features.
-_HISTORY_TEXT = {
-    "prior_ed_visit_count": "Count of prior ED visits for the same patient before the current stay.",
-    "prior_ed_visit_count_30d":
-        "Count of prior ED visits for the same patient within 30 days before the current stay.",
-    "prior_ed_visit_count_90d":
-        "Count of prior ED visits for the same patient within 90 days before the current stay.",
-    "time_since_last_ed_visit_days":
-        "Days since the patient's last ED visit before the current stay.",
-    "prior_admission_count":
-        "Count of prior admissions or transfer-to-admit signals before the current ED stay.",
-    "prior_admission_count_1y":
-        "Count of prior admissions or transfer-to-admit signals within one year before the current ED stay.",
-    "prior_icu_or_death_count":
-        "Count of prior ICU or death-related disposition signals before the current ED stay.",
-    "prior_distinct_diagnosis_count":
-        "Count of distinct prior diagnosis codes recorded before the current ED stay.",
-    "prior_high_risk_prediction_count":
-        "Count of prior model predictions labeled HIGH and created before the current ED stay.",
-    "last_risk_score":
-        "Most recent prior model risk score created before the current ED stay.",
-    "avg_prior_risk_score":
-        "Average of prior model risk scores created before the current ED stay.",
-    "max_prior_risk_score":
-        "Maximum prior model risk score created before the current ED stay.",
-}
-_HISTORY_SOURCE = {
-    "visit": "Derived from prior Encounter history before current Encounter.start",
-    "since": "Derived from prior Encounter timing before current Encounter.start",
-    "admission": (
-        "Derived from prior Encounter disposition or linked Admission history before current "
-        "Encounter.start"
-    ),
-    "icu": "Derived from prior Encounter disposition history before current Encounter.start",
-    "dx": "Derived from prior Condition or diagnosis history before current Encounter.start",
-    "score": "Derived from prior internal model outputs before current Encounter.start",
-}
-
-
-def _history_source(name: str) -> str:
-    if "score" in name or "prediction" in name:
-        return _HISTORY_SOURCE["score"]
-    if "dx" in name or "diagnosis" in name:
-        return _HISTORY_SOURCE["dx"]
-    for part in ("since", "admission", "icu"):
-        if part in name:
-            return _HISTORY_SOURCE[part]
-    return _HISTORY_SOURCE["visit"]
-
-
-def _specs() -> dict[str, tuple[str, str, str, str]]:
-    """feature -> (category, type, description, future source)."""
-    series = "Derived from Observation series"
-    out: dict[str, tuple[str, str, str, str]] = {}
-    sex = "One-hot indicator for {} sex."
-    out["gender_male"] = ("demographics", "binary", sex.format("male"), "Patient.gender")
-    out["gender_female"] = ("demographics", "binary", sex.format("female"), "Patient.gender")
-    out["gender_unknown"] = (
+# The contract, feature -> (category, type, description, future source).
+# fmt: off
+FEATURE_SPECS = {
+    "gender_male": (
+        "demographics", "binary", "One-hot indicator for male sex.",
+        "Patient.gender",
+    ),
+    "gender_female": (
+        "demographics", "binary", "One-hot indicator for female sex.",
+        "Patient.gender",
+    ),
+    "gender_unknown": (
         "demographics", "binary", "One-hot indicator when sex is unknown or unavailable.",
         "Patient.gender or missing mapping fallback",
-    )
-    for vital, (prefix, words, source) in VITAL_NAMES.items():
-        text = (
-            "Initial triage peripheral oxygen saturation." if vital == "o2sat"
-            else f"Initial triage {words} measurement."
-        )
-        out[f"triage_{vital}"] = ("triage", "numeric", text, f"Observation: {source}")
-        out[f"triage_{vital}_missing"] = (
-            "missingness", "binary", f"Indicator that triage {words} is missing.",
-            "Derived from absence of Observation",
-        )
-        out[f"{vital}_missing_rate"] = (
-            "missingness", "numeric", f"Fraction of vital rows missing {words}.",
-            "Derived from Observation completeness",
-        )
-        for stat, word in (("mean", "Mean"), ("min", "Minimum"), ("max", "Maximum")):
-            out[f"{prefix}_{stat}"] = (
-                "vital_summary", "numeric", f"{word} {words} across ED vital measurements.", series,
-            )
-    # The remaining single entries.
-    out["acuity"] = (
+    ),
+    "triage_temperature": (
+        "triage", "numeric", "Initial triage temperature measurement.",
+        "Observation: body temperature",
+    ),
+    "triage_heartrate": (
+        "triage", "numeric", "Initial triage heart rate measurement.",
+        "Observation: heart rate",
+    ),
+    "triage_resprate": (
+        "triage", "numeric", "Initial triage respiratory rate measurement.",
+        "Observation: respiratory rate",
+    ),
+    "triage_o2sat": (
+        "triage", "numeric", "Initial triage peripheral oxygen saturation.",
+        "Observation: oxygen saturation",
+    ),
+    "triage_sbp": (
+        "triage", "numeric", "Initial triage systolic blood pressure.",
+        "Observation: systolic blood pressure",
+    ),
+    "triage_dbp": (
+        "triage", "numeric", "Initial triage diastolic blood pressure.",
+        "Observation: diastolic blood pressure",
+    ),
+    "acuity": (
         "triage", "numeric", "Emergency severity or triage acuity score.",
         "Encounter.triage extension or custom Observation",
-    )
-    out["triage_shock_index"] = (
-        "triage", "numeric",
-        "Shock index derived from triage heart rate divided by systolic blood pressure.",
+    ),
+    "triage_shock_index": (
+        "triage", "numeric", "Shock index derived from triage heart rate divided by systolic blood pressure.",
         "Derived from triage Observations",
-    )
-    out["acuity_missing"] = (
+    ),
+    "triage_temperature_missing": (
+        "missingness", "binary", "Indicator that triage temperature is missing.",
+        "Derived from absence of Observation",
+    ),
+    "triage_heartrate_missing": (
+        "missingness", "binary", "Indicator that triage heart rate is missing.",
+        "Derived from absence of Observation",
+    ),
+    "triage_resprate_missing": (
+        "missingness", "binary", "Indicator that triage respiratory rate is missing.",
+        "Derived from absence of Observation",
+    ),
+    "triage_o2sat_missing": (
+        "missingness", "binary", "Indicator that triage oxygen saturation is missing.",
+        "Derived from absence of Observation",
+    ),
+    "triage_sbp_missing": (
+        "missingness", "binary", "Indicator that triage systolic blood pressure is missing.",
+        "Derived from absence of Observation",
+    ),
+    "triage_dbp_missing": (
+        "missingness", "binary", "Indicator that triage diastolic blood pressure is missing.",
+        "Derived from absence of Observation",
+    ),
+    "acuity_missing": (
         "missingness", "binary", "Indicator that acuity is missing.",
         "Derived from absence of acuity source",
-    )
-    out["vital_row_count"] = (
-        "vital_summary", "numeric",
-        "Number of time-series vital sign rows available for the encounter.",
+    ),
+    "vital_row_count": (
+        "vital_summary", "numeric", "Number of time-series vital sign rows available for the encounter.",
         "Observation count over Encounter",
-    )
-    out["shock_index"] = (
-        "derived_clinical", "numeric", "Average shock index across ED vital measurements.", series,
-    )
-    out["shock_index_max"] = (
-        "derived_clinical", "numeric", "Maximum shock index across ED vital measurements.", series,
-    )
-    out["hr_slope"] = (
+    ),
+    "temperature_mean": (
+        "vital_summary", "numeric", "Mean temperature across ED vital measurements.",
+        "Derived from Observation series",
+    ),
+    "temperature_min": (
+        "vital_summary", "numeric", "Minimum temperature across ED vital measurements.",
+        "Derived from Observation series",
+    ),
+    "temperature_max": (
+        "vital_summary", "numeric", "Maximum temperature across ED vital measurements.",
+        "Derived from Observation series",
+    ),
+    "hr_mean": (
+        "vital_summary", "numeric", "Mean heart rate across ED vital measurements.",
+        "Derived from Observation series",
+    ),
+    "hr_min": (
+        "vital_summary", "numeric", "Minimum heart rate across ED vital measurements.",
+        "Derived from Observation series",
+    ),
+    "hr_max": (
+        "vital_summary", "numeric", "Maximum heart rate across ED vital measurements.",
+        "Derived from Observation series",
+    ),
+    "rr_mean": (
+        "vital_summary", "numeric", "Mean respiratory rate across ED vital measurements.",
+        "Derived from Observation series",
+    ),
+    "rr_min": (
+        "vital_summary", "numeric", "Minimum respiratory rate across ED vital measurements.",
+        "Derived from Observation series",
+    ),
+    "rr_max": (
+        "vital_summary", "numeric", "Maximum respiratory rate across ED vital measurements.",
+        "Derived from Observation series",
+    ),
+    "spo2_mean": (
+        "vital_summary", "numeric", "Mean oxygen saturation across ED vital measurements.",
+        "Derived from Observation series",
+    ),
+    "spo2_min": (
+        "vital_summary", "numeric", "Minimum oxygen saturation across ED vital measurements.",
+        "Derived from Observation series",
+    ),
+    "spo2_max": (
+        "vital_summary", "numeric", "Maximum oxygen saturation across ED vital measurements.",
+        "Derived from Observation series",
+    ),
+    "sbp_mean": (
+        "vital_summary", "numeric", "Mean systolic blood pressure across ED vital measurements.",
+        "Derived from Observation series",
+    ),
+    "sbp_min": (
+        "vital_summary", "numeric", "Minimum systolic blood pressure across ED vital measurements.",
+        "Derived from Observation series",
+    ),
+    "sbp_max": (
+        "vital_summary", "numeric", "Maximum systolic blood pressure across ED vital measurements.",
+        "Derived from Observation series",
+    ),
+    "dbp_mean": (
+        "vital_summary", "numeric", "Mean diastolic blood pressure across ED vital measurements.",
+        "Derived from Observation series",
+    ),
+    "dbp_min": (
+        "vital_summary", "numeric", "Minimum diastolic blood pressure across ED vital measurements.",
+        "Derived from Observation series",
+    ),
+    "dbp_max": (
+        "vital_summary", "numeric", "Maximum diastolic blood pressure across ED vital measurements.",
+        "Derived from Observation series",
+    ),
+    "shock_index": (
+        "derived_clinical", "numeric", "Average shock index across ED vital measurements.",
+        "Derived from Observation series",
+    ),
+    "shock_index_max": (
+        "derived_clinical", "numeric", "Maximum shock index across ED vital measurements.",
+        "Derived from Observation series",
+    ),
+    "hr_slope": (
         "trend", "numeric", "Hourly slope of heart rate over the encounter.",
         "Derived from timestamped heart rate Observations",
-    )
-    out["bp_slope"] = (
+    ),
+    "bp_slope": (
         "trend", "numeric", "Hourly slope of systolic blood pressure over the encounter.",
         "Derived from timestamped blood pressure Observations",
-    )
-    for name, rule in {
-        "tachycardia_count": "heart rate at or above tachycardia threshold",
-        "hypotension_count": "systolic blood pressure below hypotension threshold",
-        "hypoxia_count": "oxygen saturation below hypoxia threshold",
-        "fever_count": "temperature in fever range",
-    }.items():
-        out[name] = ("event_count", "numeric", f"Count of vital rows with {rule}.", series)
-    for name in HISTORY_FEATURES:
-        text = _HISTORY_TEXT.get(name)
-        if text is None:
-            kind = name.removeprefix("prior_").removesuffix("_dx_count")
-            text = f"Count of prior {kind} diagnosis rows from visits before the current ED stay."
-        out[name] = ("history", "numeric", text, _history_source(name))
-    return {name: out[name] for name in MODEL_FEATURES}
-
-
-FEATURE_SPECS = _specs()
+    ),
+    "tachycardia_count": (
+        "event_count", "numeric", "Count of vital rows with heart rate at or above tachycardia threshold.",
+        "Derived from Observation series",
+    ),
+    "hypotension_count": (
+        "event_count", "numeric", "Count of vital rows with systolic blood pressure below hypotension threshold.",
+        "Derived from Observation series",
+    ),
+    "hypoxia_count": (
+        "event_count", "numeric", "Count of vital rows with oxygen saturation below hypoxia threshold.",
+        "Derived from Observation series",
+    ),
+    "fever_count": (
+        "event_count", "numeric", "Count of vital rows with temperature in fever range.",
+        "Derived from Observation series",
+    ),
+    "temperature_missing_rate": (
+        "missingness", "numeric", "Fraction of vital rows missing temperature.",
+        "Derived from Observation completeness",
+    ),
+    "heartrate_missing_rate": (
+        "missingness", "numeric", "Fraction of vital rows missing heart rate.",
+        "Derived from Observation completeness",
+    ),
+    "resprate_missing_rate": (
+        "missingness", "numeric", "Fraction of vital rows missing respiratory rate.",
+        "Derived from Observation completeness",
+    ),
+    "o2sat_missing_rate": (
+        "missingness", "numeric", "Fraction of vital rows missing oxygen saturation.",
+        "Derived from Observation completeness",
+    ),
+    "sbp_missing_rate": (
+        "missingness", "numeric", "Fraction of vital rows missing systolic blood pressure.",
+        "Derived from Observation completeness",
+    ),
+    "dbp_missing_rate": (
+        "missingness", "numeric", "Fraction of vital rows missing diastolic blood pressure.",
+        "Derived from Observation completeness",
+    ),
+    "prior_ed_visit_count": (
+        "history", "numeric", "Count of prior ED visits for the same patient before the current stay.",
+        "Derived from prior Encounter history before current Encounter.start",
+    ),
+    "prior_ed_visit_count_30d": (
+        "history", "numeric", "Count of prior ED visits for the same patient within 30 days before the current stay.",
+        "Derived from prior Encounter history before current Encounter.start",
+    ),
+    "prior_ed_visit_count_90d": (
+        "history", "numeric", "Count of prior ED visits for the same patient within 90 days before the current stay.",
+        "Derived from prior Encounter history before current Encounter.start",
+    ),
+    "time_since_last_ed_visit_days": (
+        "history", "numeric", "Days since the patient's last ED visit before the current stay.",
+        "Derived from prior Encounter timing before current Encounter.start",
+    ),
+    "prior_admission_count": (
+        "history", "numeric", "Count of prior admissions or transfer-to-admit signals before the current ED stay.",
+        "Derived from prior Encounter disposition or linked Admission history before current Encounter.start",
+    ),
+    "prior_admission_count_1y": (
+        "history", "numeric", "Count of prior admissions or transfer-to-admit signals within one year before the current ED stay.",
+        "Derived from prior Encounter disposition or linked Admission history before current Encounter.start",
+    ),
+    "prior_icu_or_death_count": (
+        "history", "numeric", "Count of prior ICU or death-related disposition signals before the current ED stay.",
+        "Derived from prior Encounter disposition history before current Encounter.start",
+    ),
+    "prior_cardiovascular_dx_count": (
+        "history", "numeric", "Count of prior cardiovascular diagnosis rows from visits before the current ED stay.",
+        "Derived from prior Condition or diagnosis history before current Encounter.start",
+    ),
+    "prior_respiratory_dx_count": (
+        "history", "numeric", "Count of prior respiratory diagnosis rows from visits before the current ED stay.",
+        "Derived from prior Condition or diagnosis history before current Encounter.start",
+    ),
+    "prior_endocrine_dx_count": (
+        "history", "numeric", "Count of prior endocrine diagnosis rows from visits before the current ED stay.",
+        "Derived from prior Condition or diagnosis history before current Encounter.start",
+    ),
+    "prior_renal_dx_count": (
+        "history", "numeric", "Count of prior renal diagnosis rows from visits before the current ED stay.",
+        "Derived from prior Condition or diagnosis history before current Encounter.start",
+    ),
+    "prior_distinct_diagnosis_count": (
+        "history", "numeric", "Count of distinct prior diagnosis codes recorded before the current ED stay.",
+        "Derived from prior Condition or diagnosis history before current Encounter.start",
+    ),
+    "prior_high_risk_prediction_count": (
+        "history", "numeric", "Count of prior model predictions labeled HIGH and created before the current ED stay.",
+        "Derived from prior internal model outputs before current Encounter.start",
+    ),
+    "last_risk_score": (
+        "history", "numeric", "Most recent prior model risk score created before the current ED stay.",
+        "Derived from prior internal model outputs before current Encounter.start",
+    ),
+    "avg_prior_risk_score": (
+        "history", "numeric", "Average of prior model risk scores created before the current ED stay.",
+        "Derived from prior internal model outputs before current Encounter.start",
+    ),
+    "max_prior_risk_score": (
+        "history", "numeric", "Maximum prior model risk score created before the current ED stay.",
+        "Derived from prior internal model outputs before current Encounter.start",
+    ),
+}
+# fmt: on

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -32,22 +33,23 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the cluster's shared checkpoint folder.
+    """A fresh folder below the shared checkpoint folder, removed when the
+    application ends.
 
-    Only where no such folder is named, as in tests, a local one is made.
+    Without ``spark.checkpoint.dir`` a temporary folder is made if all tasks run in
+    the driver's own process; on a cluster, where executors would not share it, that
+    is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="staylens-")
         spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def spread(df):
-    """Give every core a part where the input is only a few files. An input of
-    many files is left as it is read."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    folder = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder
 
 
 def cut_lineage(df):

@@ -174,3 +174,66 @@ def test_training_input_checks(spark):
         train.load_matrix(df, ["b"], "y", [])
     with pytest.raises(train.TrainingInputError, match="excluded"):
         train.check_columns(spark.createDataFrame([("x",)], "race string"), ["race"])
+
+
+def test_contract_entries():
+    from staylens import schema as S
+
+    assert list(S.FEATURE_SPECS) == list(S.MODEL_FEATURES) and len(S.FEATURE_SPECS) == 67
+    for name, (category, kind, text, source) in S.FEATURE_SPECS.items():
+        assert category in S.FEATURE_GROUPS and kind in ("binary", "numeric") and text.endswith(".") and source, name
+    assert S.FEATURE_SPECS["triage_sbp"][2] == "Initial triage systolic blood pressure."
+    assert S.FEATURE_SPECS["triage_dbp"][2] == "Initial triage diastolic blood pressure."
+
+
+def test_replace_slice_keeps_all_other_slices(spark, tmp_path):
+    from staylens.sources import tables
+
+    schema = "model_name string, model_version string, stay_id int, score double"
+    keys = ["model_name", "model_version"]
+    one = lambda version, *ids: spark.createDataFrame([("m", version, i, i / 10) for i in ids], schema)
+    versions = lambda df: sorted((r["model_version"], r["stay_id"]) for r in df.collect())
+    spark.sql("CREATE DATABASE IF NOT EXISTS slices")
+    for name in (f"{tmp_path}/predictions", "slices.predictions"):
+        tables.ensure_table(spark, name, schema, keys)
+        tables.replace_slice(one("007", 1, 2), name, keys)
+        tables.replace_slice(one("2024", 3), name, keys)
+        out = tables.replace_slice(one("007", 4), name, keys)
+        assert versions(out) == [("007", 4), ("2024", 3)]
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        for name in (f"{tmp_path}/old", "slices.old"):  # made without partitions, by an earlier release
+            tables.save_table(one("v0", 1, 2, 3).drop("score"), name)
+            tables.replace_slice(one("v1", 5), name, keys)
+            tables.replace_slice(one("v2", 6), name, keys)
+            out = tables.replace_slice(one("v0", 9), name, keys)
+            assert versions(out) == [("v0", 9), ("v1", 5), ("v2", 6)]
+            assert "score" in out.columns
+        assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == "static"
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+        spark.sql("DROP DATABASE slices CASCADE")
+
+
+def test_broken_backup_is_made_anew(spark, tmp_path):
+    import os
+
+    from staylens.sources import tables
+
+    df = spark.range(3)
+    tables.backup_if_absent({"t": df}, str(tmp_path))
+    assert tables.backup_if_absent({"t": spark.range(9)}, str(tmp_path))["t"].count() == 3
+    os.remove(tmp_path / "t_raw_backup" / "_SUCCESS")
+    assert tables.backup_if_absent({"t": spark.range(9)}, str(tmp_path))["t"].count() == 9
+
+
+def test_failed_checks_are_all_named(spark):
+    import pytest
+
+    from staylens.operators import checks
+
+    report = spark.createDataFrame([(f"c{i}", False) for i in range(45)], "check_name string, passes boolean")
+    with pytest.raises(checks.CheckFailed) as error:
+        checks.require_pass(report)
+    assert all(f"'c{i}'" in str(error.value) for i in range(45))
