@@ -16,6 +16,7 @@ from staylens import schema as S
 from staylens.functions import clinical
 from staylens.functions.text import finite
 from staylens.operators import metrics, ranking, rows
+from staylens.session import cut_lineage
 
 
 class TrainingInputError(ValueError):
@@ -32,6 +33,7 @@ class Params:
     validation_size: float = 0.20
     seed: int = 42
     trees: int = 300
+    patience: int = 50
     depth: int = 4
     learning_rate: float = 0.05
     row_share: float = 0.8
@@ -113,21 +115,45 @@ def _assemble(df: DataFrame, features: list[str], medians: dict[str, float]) ->
 
 # --- model ---------------------------------------------------------------------------
 
+def best_iteration(losses: list[float], patience: int) -> int:
+    """Number of trees with the least loss, looking no further once ``patience``
+    trees in a row have not improved on it. One bad tree ends nothing."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
 def train_gbt(data: DataFrame, label: str, weight: float, params: Params) -> GBTClassificationModel:
-    """Boosted trees on the train rows; the validation rows end the boosting
-    when they stop to gain."""
+    """Boosted trees on the train rows, as many as serve the validation rows best.
+
+    All trees are fitted, their losses on the validation rows are read in one pass,
+    and where fewer are better the model is fitted again with so many: the seed
+    gives the same trees, and the stored model holds no others.
+    """
     ready = data.where("split <> 'test'").select(
         "_features",
+        "split",
         F.col(label).cast("double").alias("_label"),
         F.when(F.col(label) == 1, F.lit(float(weight))).otherwise(1.0).alias("_weight"),
-        (F.col("split") == "validation").alias("_validation"),
     )
-    return GBTClassifier(
-        featuresCol="_features", labelCol="_label", weightCol="_weight",
-        validationIndicatorCol="_validation", validationTol=0.0, maxIter=params.trees,
-        maxDepth=params.depth, stepSize=params.learning_rate, subsamplingRate=params.row_share,
-        featureSubsetStrategy=str(params.column_share), seed=params.seed,
-    ).fit(ready)
+    train_rows, validation = ready.where("split = 'train'"), ready.where("split = 'validation'")
+
+    def fit(trees: int) -> GBTClassificationModel:
+        return GBTClassifier(
+            featuresCol="_features", labelCol="_label", weightCol="_weight", maxIter=trees,
+            maxDepth=params.depth, stepSize=params.learning_rate, subsamplingRate=params.row_share,
+            featureSubsetStrategy=str(params.column_share), seed=params.seed,
+        ).fit(train_rows)
+
+    model = fit(params.trees)
+    if validation.isEmpty():
+        return model
+    best = best_iteration(model.evaluateEachIteration(validation), params.patience)
+    return model if best == params.trees else fit(best)
 
 
 def raw_scores(model: GBTClassificationModel, data: DataFrame, out: str = "_raw_score") -> DataFrame:
@@ -208,13 +234,16 @@ def train(
     split = ranking.stratified_split(
         matrix, label, key, params.test_size, params.validation_size, params.seed
     )
+    split = cut_lineage(split)  # read again by every pass below
     train_rows = split.where("split = 'train'")
     fills = fit_medians(train_rows, features)
     counts = class_counts(train_rows, label)
     weight = class_weight(counts)
     data = _assemble(split, features, fills)
     model = train_gbt(data, label, weight, params)
-    scored_raw = raw_scores(model, data)
+    scored_raw = cut_lineage(raw_scores(model, data).select(key, label, "split", "_raw_score"))
+    sizes = {"train": 0, "validation": 0, "test": 0}
+    sizes |= {r["split"]: r["n"] for r in scored_raw.groupBy("split").agg(F.count("*").alias("n")).collect()}
     calibrator = fit_calibrator(scored_raw.where("split = 'validation'"), label, params.calibration)
     bundle = Bundle(
         model, calibrator, fills, features,
@@ -229,6 +258,9 @@ def train(
             "positive_train_rows": counts.get(1, 0),
             "negative_train_rows": counts.get(0, 0),
             "tree_count": model.getNumTrees,
+            "best_iteration": model.getNumTrees,
+            "feature_count": len(features),
+            **{f"{name}_rows": n for name, n in sizes.items()},
             "params": asdict(params),
         },
     )

@@ -102,3 +102,11 @@ def test_predictions(spark):
     r = rows[2]
     assert r["prior_high_risk_prediction_count"] == 1
     assert [float(r[c]) for c in ("last_risk_score", "avg_prior_risk_score", "max_prior_risk_score")] == [0.8, 0.5, 0.8]
+
+
+def test_rows_without_patient_or_time_stay(spark):
+    t = datetime(2024, 5, 1)
+    stays = [(1, 7, 5, t, "ADMITTED"), (2, 7, None, t + timedelta(days=1), None), (3, None, None, t, None), (4, 7, None, None, None)]
+    got = {r["stay_id"]: r for r in history.visit_history(spark.createDataFrame(stays, SCHEMA)).collect()}
+    assert got.keys() == {1, 2, 3, 4}
+    assert [got[i]["prior_ed_visit_count"] for i in (1, 2, 3, 4)] == [0, 1, 0, 0]

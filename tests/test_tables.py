@@ -237,3 +237,28 @@ def test_failed_checks_are_all_named(spark):
     with pytest.raises(checks.CheckFailed) as error:
         checks.require_pass(report)
     assert all(f"'c{i}'" in str(error.value) for i in range(45))
+
+
+def test_a_bad_tree_does_not_end_the_boosting():
+    from staylens.plans import train
+
+    assert train.best_iteration([0.9, 0.8, 0.85, 0.86, 0.7, 0.71], 3) == 5
+    assert train.best_iteration([0.9, 0.8, 0.85, 0.86, 0.87, 0.7], 3) == 2
+    assert train.best_iteration([0.5], 50) == 1 and train.best_iteration([0.5, 0.4, 0.3], 50) == 3
+
+
+def test_boosting_keeps_the_best_trees_and_serves_as_it_trains(spark):
+    import random
+
+    from staylens.plans import train
+
+    rng = random.Random(4)
+    rows = [(i, rng.random(), rng.random()) for i in range(900)]
+    rows = [(i, a, b, int(a + rng.gauss(0, 0.25) > 0.5)) for i, a, b in rows]
+    store = spark.createDataFrame(rows, "stay_id bigint, f1 double, f2 double, risk_target int")
+    result = train.train(store, "m", "v", train.Params(trees=25, patience=5, learning_rate=0.3), features=["f1", "f2"])
+    facts = result.bundle.metadata
+    assert facts["best_iteration"] == result.bundle.model.getNumTrees and 1 <= facts["best_iteration"] <= 25
+    assert facts["train_rows"] + facts["validation_rows"] + facts["test_rows"] == 900 and facts["feature_count"] == 2
+    odd = spark.createDataFrame([(1, None, 0.5), (2, float("nan"), 0.5), (3, float("inf"), 0.5)], "stay_id bigint, f1 double, f2 double")
+    assert len({r["score"] for r in train.predict(result.bundle, odd, "score").collect()}) == 1
