@@ -183,6 +183,57 @@ FROM (SELECT *, CASE WHEN temperature > 200 THEN temperature / 10 ELSE temperatu
 """
 
 
+_TRIAGE_TEXT = {
+    "subject_id": "CAST(l_partkey AS VARCHAR(30))",
+    "stay_id": "CASE WHEN l_linenumber = 6 THEN 'x' ELSE CAST(l_partkey * 100000 + l_suppkey * 10 + l_linenumber AS VARCHAR(30)) END",
+    "chiefcomplaint": "concat('\"pain', CAST(l_partkey AS VARCHAR(30)), '\"')",
+    "pain": "CASE l_linenumber WHEN 1 THEN 'nan' WHEN 2 THEN 'None' WHEN 3 THEN '' ELSE CAST(l_partkey % 11 AS VARCHAR(30)) END",
+    "acuity": "CASE WHEN l_linenumber = 4 THEN 'n/a' ELSE CAST(l_partkey % 5 + 1 AS VARCHAR(30)) END",
+}
+
+
+def q_repair_triage(spark, sf):
+    """A triage file of text columns, with numbers out of scale, bad text and missing keys."""
+    from catalog.cleaning import _WILD
+
+    wild = bind.source(spark, sf, "lineitem").select(
+        "l_partkey", "l_suppkey", "l_linenumber", *[F.expr(e).alias(c) for c, e in _WILD.items()]
+    ).distinct()
+    raw = wild.select(
+        *[F.expr(e).alias(c) for c, e in _TRIAGE_TEXT.items()],
+        *[F.concat(F.lit(" "), F.col(c).cast("string")).alias(c) for c in _WILD],
+    )
+    return files.repair_triage(raw)
+
+
+def _triage_sql() -> str:
+    from catalog.cleaning import _WILD_SQL
+
+    steps = {"temperature": "temperature", "heartrate": "heartrate", "resprate": "resprate", "o2sat": "o2sat", "sbp": "sbp", "dbp": "dbp"}
+    steps["temperature"] = "CASE WHEN temperature > 200 THEN temperature / 10 ELSE temperature END"
+    steps["o2sat"] = "CASE WHEN o2sat > 1000 THEN o2sat / 10 ELSE o2sat END"
+    steps["sbp"] = "CASE WHEN sbp > 10000 THEN sbp / 10 / 10 WHEN sbp > 1000 THEN sbp / 10 ELSE sbp END"
+    steps["dbp"] = (
+        "CASE WHEN dbp > 10000 AND dbp / 1000 > 200 THEN dbp / 1000 / 10 WHEN dbp > 10000 THEN dbp / 1000 "
+        "WHEN dbp > 1000 AND dbp / 100 > 200 THEN dbp / 100 / 10 WHEN dbp > 1000 THEN dbp / 100 "
+        "WHEN dbp > 200 THEN dbp / 10 ELSE dbp END"
+    )
+    text = ", ".join(f"{e} AS {c}" for c, e in _TRIAGE_TEXT.items())
+    scaled = ", ".join(f"{e} AS {c}" for c, e in steps.items())
+    guard = lambda c, lo, hi: f"CASE WHEN {c} >= {lo}{f' AND {c} <= {hi}' if hi else ''} THEN {c} END"
+    clip = lambda c, e, lo, hi: f"CASE WHEN {e} IS NOT NULL THEN greatest(least({e}, {hi}), {lo}) END AS {c}"
+    values = [
+        clip("temperature", guard("temperature", 85, 110), 85, 110), clip("heartrate", guard("heartrate", 25, 250), 25, 250),
+        clip("resprate", guard("resprate", 5, 60), 5, 60), clip("o2sat", guard("o2sat", 50, None), 50, 100),
+        clip("sbp", "sbp", 60, 300), clip("dbp", "dbp", 30, 200),
+    ]
+    return f"""
+SELECT CAST(subject_id AS BIGINT) AS subject_id, TRY_CAST(stay_id AS BIGINT) AS stay_id, replace(chiefcomplaint, '"', '') AS chiefcomplaint,
+  CASE WHEN pain NOT IN ('', 'nan', 'None') THEN pain END AS pain, TRY_CAST(acuity AS DOUBLE) AS acuity, {", ".join(values)}
+FROM (SELECT {text}, {scaled} FROM ({_WILD_SQL})) WHERE TRY_CAST(stay_id AS BIGINT) IS NOT NULL
+"""
+
+
 def q_stage_runner(spark, sf):
     """All stages over stored raw tables; the predictions they leave behind."""
 
@@ -209,9 +260,11 @@ QUERIES = {
     "read_requests": q_read_requests,
     "csv_round_trip": q_csv_round_trip,
     "repair_vital_sign": q_repair_vital_sign,
+    "repair_triage": q_repair_triage,
     "stage_runner": q_stage_runner,
 }
 ORACLES = {
+    "repair_triage": _triage_sql(),
     "csv_repair": O_CSV_REPAIR,
     "append_valid": O_APPEND_VALID,
     "replace_slice": O_REPLACE_SLICE,
