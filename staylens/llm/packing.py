@@ -18,7 +18,9 @@ moves, and what a pool leaves over goes into the next one.
 
 from __future__ import annotations
 
+import sys
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -32,8 +34,8 @@ from staylens.llm.shared import in_blocks, keyed_texts, tokenizer_path
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
-#: Words whose ids one Python worker keeps; the cache is emptied when full.
-CACHE = 300_000
+#: Words whose ids one Python worker keeps: so many newer ones, and as many used before them.
+CACHE = 500_000
 
 PIECE_SCHEMA = pa.schema(
     [
@@ -50,7 +52,7 @@ class Limits:
     tokens: int = 2048
     segments: int = 64
     loss: int = 2048
-    pool: int = 2048
+    pool: int = 256
 
 
 @dataclass
@@ -186,6 +188,12 @@ def piece_rows(bins: Iterator[list[Example]], key_type: pa.DataType, rows: int =
         yield batch(found)
 
 
+def little(ids: array) -> bytes:
+    if sys.byteorder == "big":
+        ids.byteswap()
+    return ids.tobytes()
+
+
 class WordIds:
     """Ids of whole texts. The vocabulary drops white space and no token spans
     it, so ids are kept for each different word; a text that holds an added
@@ -197,18 +205,30 @@ class WordIds:
         self.library = Tokenizer.from_file(path)
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+        return [little(array("I", e.ids)) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def of(self, texts: list[str]) -> list[bytes]:
-        split = [None if any(a in t for a in self.added) else t.replace("\n", " ").split(" ") for t in texts]
-        new = list({w for words in split if words is not None for w in words} - self.words.keys())
+    def learn(self, words: set[str]) -> None:
+        """Every word of the set is in ``words`` afterwards."""
+        new = words - self.words.keys()
         if len(self.words) + len(new) > CACHE:
-            self.words.clear()
-            new = list({w for words in split if words is not None for w in words})
-        self.words.update(zip(new, self.encode(new)))
+            self.older, self.words = self.words, {}
+            new = words
+        known = new & self.older.keys()
+        self.words.update((w, self.older[w]) for w in known)
+        unknown = list(new - known)
+        self.words.update(zip(unknown, self.encode(unknown)))
+
+    @staticmethod
+    def cut(text: str) -> list[str]:
+        """Words; those of plain ASCII in lower case, which the library makes of them anyhow."""
+        return (text.lower() if text.isascii() else text).replace("\n", " ").split(" ")
+
+    def of(self, texts: list[str]) -> list[bytes]:
+        split = [None if "<|" in t and any(a in t for a in self.added) else self.cut(t) for t in texts]
+        self.learn(set().union(*(words for words in split if words is not None)))
         known = self.words.__getitem__
         return [self.encode([t])[0] if words is None else b"".join(map(known, words)) for t, words in zip(texts, split)]
 
