@@ -1,19 +1,24 @@
 """Personal data: candidates from generators of high recall, chosen by boosted trees.
 
 Base spans follow fixed formats and always stay. Beside them, looser generators
-propose overlapping spans: numbers in groups, addresses with a spelled-out @, long
-digit runs. Boosted trees score each proposal from its format and from what stands
-around it. They learn from the texts themselves: proposals that overlap a base span
-are positive, all others negative. No feature tells of the base formats' own
-checks, so that a number in a telephone's place and shape is found also where it
-fails them. Margins are calibrated on texts that the trees have not seen, and per
-kind the lowest threshold is taken that keeps the wanted precision there. Chosen
-spans that overlap a base span or a likelier one are dropped.
+propose spans that no base span covers: telephone numbers without +, addresses with
+a spelled-out @, long digit runs. Boosted trees score each such free proposal from
+its format and from what stands around it. Their labels come from rewritten texts
+(``planted``): in place, addresses and telephone numbers of the base formats are
+given obfuscated, unprefixed or unbroken forms (positive), and number series,
+versions, times and phrases of the text's own words are put in between (negative). A
+text without an address or number gets a made one, so that every kind is learned on
+any texts. Of what stands free by itself only what is known to be no personal data
+has a label: card-shaped numbers that fail their check and values of tokens and
+versions. Margins are calibrated per kind on the free spans of texts that the trees
+have not seen, and per kind the lowest threshold is taken that keeps the wanted
+precision there. Chosen spans that overlap a base span or a likelier one are dropped.
 """
 
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -42,7 +47,7 @@ KINDS = [*BASE, *LOOSE]
 WORDS_NEAR = re.compile(r"(?i)\b(?:tel|phone|call|fax|mobile|cell|contact|mail|e-mail|email|write|card|visa|account|iban|ssn|passport|id|ip|host|address|login|from|server)\b")
 CODE_NEAR = re.compile(r"(?i)(?:=|token|key|secret|password|hash|version|sha|uuid|#)\W{0,3}$")
 
-#: Texts with digits or an @ that the trees are fitted on (bound), and the share of them kept for calibration.
+#: Texts that the trees are fitted on (bound), and the share of them kept for calibration.
 SAMPLE_TEXTS = 4000
 CALIBRATION = 0.3
 PRECISION = 0.98
@@ -118,41 +123,115 @@ def features(text: str, span: tuple[str, int, int]) -> list[float]:
         float(KINDS.index(kind)), n, len(number), len(number) / n, len(groups), max(groups, default=0), min(groups, default=0),
         s.count("-"), s.count(" "), s.count("."), s.count("(") + s.count("["), sum(c.isalpha() for c in s) / n,
         len(set(number)), float(number[:1] in ("4", "5", "3")), float(number[:1] == "0"),
-        float(last == "+" or before[-3:-1].startswith("+") or before[-2:-1] == "+"), float(last.isspace()), float(last.isalnum()), float(last in "=:\"'/#"),
+        float(last.isspace()), float(last.isalnum()), float(last in "=:\"'/#"),
         float(next_.isspace()), float(next_.isalnum()), float(next_ in ".,;"), float(next_ in "\"'/"),
-        float(bool(WORDS_NEAR.search(before))), float(bool(CODE_NEAR.search(before))), float("+" in before[-4:]),
+        float(bool(WORDS_NEAR.search(before))), float(bool(CODE_NEAR.search(before))),
+        float(bool(re.search(r"\.\s", s))), float("dot" in s.lower()), float(len(re.findall(r"\w*$", s)[0])), float(bool(re.search(r"\W[A-Z][a-z]*$", s))), *[float(g) for g in [*groups, 0, 0, 0, 0][:4]],
     ]
 
 
+def obfuscated(address: str, rng: random.Random) -> str:
+    """An address with its @, and often its dots, spelled out."""
+    local, host = address[:64].split("@", 1)
+    at = rng.choice(["(at)", " (at) ", "[at]", " [at] ", "{at}", " (AT) ", "(@)", " [@] "])
+    return local + at + rng.choice([".", " (dot) ", "(dot)", "[dot]", " [DOT] "]).join(host.split(".")[-4:])
+
+
+def national(number: str, rng: random.Random) -> str:
+    """A telephone number without its +, in one of the forms of national use, or unbroken."""
+    a, b, c = number[-10:-7], number[-7:-4], number[-4:]
+    return rng.choice([f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"{a} {b} {c}", f"({a}) {b} {c}", f"{a} {b}-{c}", a + b + c, a + b + c])
+
+
+def decoys(near: list[str], rng: random.Random) -> list[str]:
+    """One string per generator that it proposes and that is no personal data."""
+    n = lambda k: "".join(rng.choice("0123456789") for _ in range(k))
+    year, w = rng.randint(1700, 2100), [re.sub(r"[^A-Za-z]+", "", x)[:20] or "noon" for x in near]
+    card = "4" + n(15)
+    series = rng.choice([f"{year} {year + 1} {year + 2}", f"{year}-{year + 4} {year + 9}", f"{rng.randint(10, 99)}.{n(3)}.{n(3)}", f"{rng.randint(10, 999)} {n(3)} {n(3)}", f"{n(4)}-{n(4)}-{n(4)}", f"{n(2)}.{n(4)}.{n(4)}"])
+    run = rng.choice([card if not luhn(card) else card[:-1] + str((int(card[-1]) + 1) % 10), f"1{rng.randint(4, 7)}{n(11)}", n(12), n(14), n(18), f"{year}{n(10)}"])
+    phrase = f"{w[0].lower()} {rng.choice(['(at)', '[at]', '(AT)', '(@)'])} {w[1].lower()}. {w[2].capitalize()}"
+    return [phrase, rng.choice(["", "", "version ", "order #", "ref: "]) + series, rng.choice(["", "", "token=", "#"]) + run]
+
+
+def planted(text: str, rng: random.Random) -> tuple[str, list[tuple[int, int, float]]]:
+    """The text with its addresses and telephone numbers in free forms and decoys in
+    between, and where these stand: start, end, 1 for personal data, else 0."""
+    base, words_ = base_spans(text), text.split()[:400] or ["noon"]
+    gaps = [m.end() for m in re.finditer(r"\s", text) if all(m.end() <= a or m.end() >= b for _, a, b in base)] or [len(text)]
+    put, end = [], 0
+    for kind, a, b in sorted(base, key=lambda s: s[1]):
+        if a >= end and kind in ("email", "phone"):
+            number = digits(text[a:b])
+            if kind == "email" or len(number) >= 10:
+                put.append((a, b, obfuscated(text[a:b], rng) if kind == "email" else national(number, rng), 1.0))
+                end = b
+    pick = lambda: re.sub(r"[^A-Za-z]+", "", rng.choice(words_))[:20].lower() or "info"
+    made = [(d, 0.0) for d in decoys([rng.choice(words_) for _ in range(3)], rng)]
+    if not any(k == "email" for k, _, _ in base):
+        made.append((obfuscated(f"{pick()}{rng.choice(['', '.', '_'])}{rng.choice([pick(), str(rng.randint(1, 99))])}@{pick()}.{rng.choice(['com', 'org', 'net', 'de', 'example.com', 'co.uk'])}", rng), 1.0))
+    if not any(k == "phone" for k, _, _ in base):
+        made.append((national("".join(rng.choice("0123456789") for _ in range(10)), rng), 1.0))
+    put += [(at, at, s, y) for at, (s, y) in zip((rng.choice(gaps) for _ in made), made) if not any(a < at < b for a, b, _, _ in put)]
+    out, where, at, size = [], [], 0, 0
+    for a, b, s, y in sorted(put, key=lambda x: x[:2]):
+        before = text[at:a] + (" " if a == b else "")
+        out += [before, s, " " if a == b else ""]
+        where.append((size + len(before), size + len(before) + len(s), y))
+        size, at = size + sum(map(len, out[-3:])), b
+    return "".join([*out, text[at:]]), where
+
+
+def examples_of(text: str, rng: random.Random, most: int = 200) -> list[tuple[str, float, list[float]]]:
+    """Kind, label and features of the free proposals of the planted text that have a
+    label; of those that stand there by themselves ``most`` at most."""
+    text, where = planted(text, rng)
+    base, out, own = base_spans(text), [], 0
+    for s in proposals(text):
+        if any(s[1] < b and a < s[2] for _, a, b in base):
+            continue
+        over = [y for a, b, y in where if s[1] < b and a < s[2]]
+        number = digits(text[s[1] : s[2]])
+        if not over and own < most and (CODE_NEAR.search(text[max(0, s[1] - 40) : s[1]]) or s[0] == "number_like" and 13 <= len(number) <= 19 and not luhn(number)):
+            over, own = [0.0], own + 1
+        if len(set(over)) == 1:
+            out.append((s[0], over[0], features(text, s)))
+    return out
+
+
 @dataclass
 class Model:
-    """Trees, calibration and a threshold per kind of proposal (above 1: none of that kind is taken)."""
+    """Trees, and per kind of proposal slope and offset of its calibration and a threshold; none of other kinds is taken."""
 
     trees: Boosted
-    slope: float
-    offset: float
+    scales: dict[str, tuple[float, float]]
     thresholds: dict[str, float]
 
     def chosen(self, text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
         found = proposals(text)
-        free = [s for s in found if all(s[2] <= a or s[1] >= b for _, a, b in base)]
+        free = [s for s in found if s[0] in self.thresholds and all(s[2] <= a or s[1] >= b for _, a, b in base)]
         if not free:
             return []
-        p = sigmoid(self.slope * self.trees.margin(np.array([features(text, s) for s in free], dtype=float)) + self.offset)
+        slope, offset = np.array([self.scales[s[0]] for s in free]).T
+        p = sigmoid(slope * self.trees.margin(np.array([features(text, s) for s in free], dtype=float)) + offset)
         taken: list[tuple[str, int, int]] = []
         for i in np.argsort(-p, kind="stable"):
             kind, a, b = free[i]
-            if p[i] >= self.thresholds.get(kind, 2.0) and all(b <= x or a >= y for _, x, y in taken):
+            if p[i] >= self.thresholds[kind] and all(b <= x or a >= y for _, x, y in taken):
                 taken.append(free[i])
         return sorted(taken, key=lambda s: (KINDS.index(s[0]), s[1]))
 
 
 def learned(rows: DataFrame, sample: int = SAMPLE_TEXTS, precision: float = PRECISION) -> Model:
-    """Fit on at most ``sample`` texts, those of the smallest hashes among all that
-    hold a digit or an @."""
-    hashed = rows.where(F.col("text").rlike("[0-9@]")).withColumn("h", F.xxhash64("text", F.lit(7)))
-    bound = [r[0] for r in hashed.select("h").distinct().orderBy("h").limit(sample).collect()]
-    empty = Model(Boosted(), 1.0, 0.0, {})
+    """Fit on at most ``sample`` texts: those of the smallest hashes among all that
+    hold a digit, an @ or an opening bracket, filled up with others.
+
+    A threshold is taken only where enough held-out spans speak for the precision:
+    it is estimated with one more right and one more wrong span than were seen.
+    """
+    hashed = rows.select("text", (~F.col("text").rlike(r"[0-9@(\[{]")).alias("plain"), F.xxhash64("text", F.lit(7)).alias("h")).where("text <> ''")
+    bound = hashed.select("plain", "h").distinct().orderBy("plain", "h").limit(sample).collect()
+    empty = Model(Boosted(), {}, {})
     if not bound:
         return empty
 
@@ -160,14 +239,12 @@ def learned(rows: DataFrame, sample: int = SAMPLE_TEXTS, precision: float = PREC
         for batch in batches:
             out = []
             for h, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                base = base_spans(text)
-                for s in proposals(text)[:200]:
-                    out.append((h, s[0], float(any(s[1] < b and a < s[2] for _, a, b in base)), features(text, s)))
+                out += [(h, *e) for e in examples_of(text, random.Random(h))]
             columns = list(zip(*out)) or [()] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.string(), pa.float64(), pa.list_(pa.float64())))], ["h", "kind", "y", "x"])
 
     # One row per different text, so that copies don't weigh more.
-    texts = hashed.where(F.col("h") <= bound[-1]).groupBy("h").agg(F.first("text").alias("text"))
+    texts = hashed.where(F.struct("plain", "h") <= F.struct(*map(F.lit, bound[-1]))).groupBy("h").agg(F.first("text").alias("text"))
     found = texts.mapInArrow(examples, "h bigint, kind string, y double, x array<double>").orderBy("h", "kind", "x").collect()
     if len({r["y"] for r in found}) < 2:
         return empty
@@ -176,16 +253,20 @@ def learned(rows: DataFrame, sample: int = SAMPLE_TEXTS, precision: float = PREC
     if len(set(y[held])) < 2 or len(set(y[~held])) < 2:
         return empty
     trees = Boosted().fit(x[~held], y[~held])
-    margin = trees.margin(x[held])
-    slope, offset = platt(margin, y[held])
-    p, kinds = sigmoid(slope * margin + offset), np.array([r["kind"] for r in found])[held]
-    thresholds = {}
+    margin, labels = trees.margin(x[held]), y[held]
+    kinds = np.array([r["kind"] for r in found])[held]
+    scales, thresholds = {}, {}
     for kind in LOOSE:
         mine = kinds == kind
-        at = [t for t in np.unique(p[mine]) if y[held][mine][p[mine] >= t].mean() >= precision and t >= 0.5]
+        if len(set(labels[mine])) < 2:
+            continue
+        slope, offset = platt(margin[mine], labels[mine])
+        p = sigmoid(slope * margin[mine] + offset)
+        right = lambda t: (labels[mine][p >= t].sum() + 1) / ((p >= t).sum() + 2)  # noqa: E731, B023
+        at = [t for t in [0.5, *np.unique(p[p > 0.5])] if right(t) >= precision]
         if at:
-            thresholds[kind] = float(at[0])
-    return Model(trees, slope, offset, thresholds)
+            scales[kind], thresholds[kind] = (slope, offset), float(at[0])
+    return Model(trees, scales, thresholds)
 
 
 def as_text(spans: list[tuple[str, int, int]]) -> str:

@@ -159,6 +159,22 @@ def test_personal_data_of_rows(table):
     assert pii.find(table([])).count() == 0 and pii.redact(table([])).count() == 0
 
 
+def test_free_forms_are_found_and_decoys_left(table):
+    rng = np.random.default_rng(7)
+    word = lambda: "".join(rng.choice(list("abcdefghij"), 5))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    fit = table([f"{prose(20)} {i}. {prose(9)} +1 ({200 + i % 700}) 555-{1000 + i} {prose(9)} {word()}.{i}@mail{i % 9}.example.com {prose(20)}" for i in range(600)])
+    model = pii.learned(fit.select("text"))
+    assert model.thresholds.keys() == pii.LOOSE.keys()
+    hidden = {"email_like": "jane.doe (at) example (dot) org", "phone_like": "(234) 555-0199", "number_like": "2345550199"}
+    left = ["1987 1988 1989", "12 345 678", "4111111111111112", "they met (at) noon. Then", "1712345678901"]
+    texts = [f"{prose(8)} {s} {prose(8)}" for s in [*hidden.values(), *left]]
+    found = [[(k, t[a:b]) for k, a, b in model.chosen(t, pii.base_spans(t))] for t in texts]
+    for (kind, s), got in zip(hidden.items(), found):
+        assert [x for _, x in got] == [s] and (got[0][0] == kind or kind == "phone_like")
+    assert found[3:] == [[]] * len(left)
+
+
 def test_boosted_trees_learn_a_rule_of_two_features():
     rng = np.random.default_rng(3)
     x = rng.random((2000, 4))
