@@ -15,10 +15,8 @@ so that masks split no further, it is dealt into chunks, and each pair of chunks
 compared in a task of its own: all pairs are seen, none is emitted but the edges.
 
 Three-word shingles at radius 3 miss most texts that share 80 % of their five-word
-shingles, which differ in ten bits or more. For these, ``WIDE`` takes each different
-word once, which a few edits change little, with radius 5, and of what collides
-links only pairs whose five-word fingerprints differ in no more bits than texts of
-that similarity do (9.7 on average, two standard deviations more at most).
+shingles, which differ in ten bits or more. ``representatives`` takes its groups from
+``nearness``, which checks that similarity exactly.
 """
 
 from __future__ import annotations
@@ -33,6 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from staylens.llm import nearness
 from staylens.llm.components import components
 from staylens.llm.shared import SEED, keyed_texts, stored
 
@@ -60,7 +59,6 @@ class Rule:
 
 
 NARROW = Rule()
-WIDE = Rule(words=1, radius=5, once=True, check_words=5, check_radius=15)
 
 
 def signed(x: int) -> int:
@@ -217,11 +215,11 @@ def classes(df: DataFrame, rule: Rule = NARROW, key: str = "doc_id", text: str =
     return rows.join(members, ["bits", "check"]).select("doc_id", "digest", "bits", "class_name", "component_id")
 
 
-def representatives(df: DataFrame, rule: Rule = WIDE, key: str = "doc_id", text: str = "text") -> DataFrame:
+def representatives(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``df``, unchanged, that stay: of each component the row of the
     smallest key (NULL keys last, equal keys by a hash of the text), and of repeated
     rows one."""
-    found = classes(df, rule, key, text)
+    found = nearness.classes(df, key, text)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "digest")
     stays = found.groupBy("class_name").agg(F.min_by(F.struct("doc_id", "digest"), order).alias("k"))
     same = ["_near_key", "_near_null", "_near_digest"]

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from staylens.llm import components, decontaminate, pii, revisit, simhash, sketches, substring
+from staylens.llm import components, decontaminate, nearness, pii, revisit, simhash, sketches, substring
 from staylens.llm.shared import keyed_texts
 
 from .conftest import LINES
@@ -213,6 +213,21 @@ def test_one_of_each_group_stays(table):
     assert simhash.representatives(table([])).count() == 0
 
 
+@pytest.mark.parametrize("bucket", [4096, 3])
+def test_similar_texts_are_one_class(table, bucket):
+    rng = random.Random(11)
+    base = [" ".join(words(rng.randint(60, 400), ("n", i))) for i in range(12)]
+    texts = base + [edited(t, max(1, int(len(t.split()) * share)), (i, share).__hash__()) for i, t in enumerate(base) for share in (0.015, 0.02, 0.025, 0.03, 0.04, 0.05, 0.06, 0.08)]
+    texts += ["", None, "a b", "A  b"]
+    sets = [runs((t or "").lower()) for t in texts]
+    alike = lambda a, b: a == b or len(a & b) >= 0.8 * len(a | b) > 0
+    want = brute_components(sets, alike)
+    assert len(set(want)) > 24  # some edits go too far
+    out = {r["doc_id"]: r["class_name"] for r in nearness.classes(table(texts), bucket=bucket).collect()}
+    first = {}
+    assert [first.setdefault(bytes(out[i]), i) for i in range(len(texts))] == want
+
+
 # -- decontamination
 
 
