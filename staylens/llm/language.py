@@ -33,7 +33,10 @@ SAMPLE = 20_000
 WEIGHT = 4.0
 
 HIDDEN = re.compile(r"(?is)<(script|style|noscript|template)\b.*?(?:</\1\s*>|\Z)|<!--.*?(?:-->|\Z)|<[^>]*>")
-DECLARED = re.compile(r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?\s*([a-z]{2,3})")
+COMMENT = re.compile(r"(?s)<!--.*?(?:-->|\Z)")
+#: Tags are consumed whole, so that many openings without an end are read once.
+HTML_TAG = re.compile(r"(?i)<html\b[^>]*")
+LANG = re.compile(r"(?i)\blang\s*=\s*[\"']?\s*([a-z]{2,3})")
 
 
 def visible(html: str) -> str:
@@ -41,8 +44,11 @@ def visible(html: str) -> str:
 
 
 def declared(html: str) -> str | None:
-    found = DECLARED.search(html[:20_000])
-    return found[1].lower() if found else None
+    """The language of the first html tag that names one, outside comments."""
+    for tag in HTML_TAG.finditer(COMMENT.sub(" ", html)):
+        if found := LANG.search(tag[0]):
+            return found[1].lower()
+    return None
 
 
 def trigrams(text: str) -> np.ndarray:

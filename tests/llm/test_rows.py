@@ -248,6 +248,13 @@ def test_language_from_all_evidence(spark):
     assert {r["lang"] for r in language.identify(pages, docs.limit(0)).collect()} == {None}
 
 
+def test_declared_language_stands_anywhere():
+    tag = '<html class="a" lang="de-DE"><p>x</p>'
+    assert language.declared(f"<!-- {'x' * 30_000} -->{tag}") == "de" and language.declared(f"{' ' * 30_000}{tag}") == "de"
+    assert language.declared(f'<!-- <html lang="en"> -->{tag}') == "de" and language.declared('<!-- <html lang="en">') is None
+    assert language.declared("<html " * 20_000 + ">") is None
+
+
 def test_language_equals_the_formula(spark):
     docs = spark.createDataFrame([(1, EN * 3, "en"), (2, DE * 3, "de")], "doc_id bigint, text string, lang string")
     rows = [(1, "http://h.x/1", f'<html lang="de">{EN}'), (2, "http://h.x/2", f"<html>{DE}"), (3, "http://g.x/", "<html>zz qq")]
