@@ -216,8 +216,7 @@ SELECT l_partkey, COUNT(*) AS row_count FROM lineitem GROUP BY l_partkey ORDER B
 
 # --- training and scoring (weaker check: rows only) ---------------------------------------------
 
-# Fewer trees than the default keep a check run short; the rows are all used.
-PARAMS = train.Params(trees=15)
+PARAMS = train.Params()
 
 
 def trained(spark, sf) -> tuple[train.Training, str]:

@@ -243,7 +243,7 @@ def q_stage_runner(spark, sf):
             tables.save_table(df, f"{root}/{t}")
         layout = pipeline.Layout(root, f"{root}/reports", "run")
         pipeline.run_pipeline(
-            spark, layout, model_version="stage", params=train.Params(trees=5), stage="full"
+            spark, layout, model_version="stage", params=train.Params(), stage="full"
         )
         return tables.load_table(spark, layout.table("risk_predictions"))
 

@@ -262,3 +262,18 @@ def test_boosting_keeps_the_best_trees_and_serves_as_it_trains(spark):
     assert facts["train_rows"] + facts["validation_rows"] + facts["test_rows"] == 900 and facts["feature_count"] == 2
     odd = spark.createDataFrame([(1, None, 0.5), (2, float("nan"), 0.5), (3, float("inf"), 0.5)], "stay_id bigint, f1 double, f2 double")
     assert len({r["score"] for r in train.predict(result.bundle, odd, "score").collect()}) == 1
+
+
+def test_registered_training_uses_the_default_trees(monkeypatch):
+    from catalog import bind, modelling, storage
+    from staylens.plans import pipeline, train
+
+    seen = {}
+    monkeypatch.setattr(storage, "work_dir", lambda spark, name: "unused")
+    monkeypatch.setattr(bind, "raw_tables", lambda spark, sf: {})
+    monkeypatch.setattr(bind, "once", lambda spark, sf, name, build: build())
+    monkeypatch.setattr(pipeline, "run_pipeline", lambda *a, **options: seen.update(options))
+    monkeypatch.setattr(storage.tables, "load_table", lambda *a: (_ for _ in ()).throw(LookupError))
+    with pytest.raises(LookupError):
+        storage.q_stage_runner(None, "unused")
+    assert seen["params"] == modelling.PARAMS == train.Params() and train.Params().trees == 300
