@@ -54,19 +54,23 @@ def blocks(bits: Column, radius: int) -> Column:
 
 
 def benchmark_items(benchmark: DataFrame, words: int, item: str, text: str) -> DataFrame:
-    """``(item_id, n_words, shingles)`` of the items that have words."""
+    """``(item_key, item_id, n_words, shingles)`` of the items that have words.
+
+    ``item_key`` is never NULL: it tells items apart in joins, also where their ids are NULL or equal.
+    """
     rows = benchmark.select(F.col(item).alias("item_id"), text_of(text).alias("text"))
-    return stored(with_shingles(rows, words).drop("text").where("n_words > 0"))
+    rows = rows.withColumn("item_key", F.xxhash64("item_id", F.col("item_id").isNull(), "text"))
+    return stored(with_shingles(rows.dropDuplicates(["item_key"]), words).drop("text").where("n_words > 0"))
 
 
 def weighted(items: DataFrame) -> tuple[DataFrame, Column]:
     """Items with ``parts``, their different shingles with count and weight
     ln(1 + items / items that hold it), and the weight of a shingle of one item."""
     rare = F.log1p(F.lit(float(max(1, items.count()))))
-    exploded = items.select("item_id", "n_words", "shingles", F.explode("shingles").alias("h"))
-    counts = exploded.groupBy("item_id", "n_words", "shingles", "h").agg(F.count("*").alias("c"))
+    exploded = items.select("item_key", "item_id", "n_words", "shingles", F.explode("shingles").alias("h"))
+    counts = exploded.groupBy("item_key", "item_id", "n_words", "shingles", "h").agg(F.count("*").alias("c"))
     held = counts.groupBy("h").agg(F.count("*").alias("held"))
-    parts = counts.join(held, "h").groupBy("item_id", "n_words", "shingles").agg(
+    parts = counts.join(held, "h").groupBy("item_key", "item_id", "n_words", "shingles").agg(
         F.collect_list(F.struct("h", "c", F.log1p(F.lit(float(max(1, items.count()))) / F.col("held")).alias("w"))).alias("parts")
     )
     return parts, rare
@@ -102,7 +106,7 @@ def leaks(
     """
     items = benchmark_items(benchmark, words, item, item_text)
     parts, rare = weighted(items)
-    wanted = items.select("item_id", F.col("n_words").alias("item_words"), F.posexplode("shingles").alias("item_at", "h"))
+    wanted = items.select(F.col("n_words").alias("item_words"), F.posexplode("shingles").alias("item_at", "h"))
     wanted = wanted.select("item_words", "item_at", "h").distinct()
     if (items.agg(F.sum(F.size("shingles"))).first()[0] or 0) <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
@@ -120,10 +124,10 @@ def leaks(
     signed = stored(signed.withColumn("_id", F.xxhash64("doc_id", "digest", "item_words", "start_word")))
     item_bits = stored(parts.withColumn("item_bits", simhash(F.col("shingles"))).drop("shingles"))
     slots = signed.select("_id", F.col("item_words").alias("n_words"), "bits", F.explode(blocks(F.col("bits"), radius)).alias("b")).select("_id", "n_words", "bits", "b.*")
-    item_slots = item_bits.select("item_id", "n_words", "item_bits", F.explode(blocks(F.col("item_bits"), radius)).alias("b")).select("item_id", "n_words", "item_bits", "b.*")
+    item_slots = item_bits.select("item_key", "n_words", "item_bits", F.explode(blocks(F.col("item_bits"), radius)).alias("b")).select("item_key", "n_words", "item_bits", "b.*")
     distance = F.bit_count(F.col("bits").bitwiseXOR(F.col("item_bits")))
-    near = slots.join(item_slots, ["n_words", "block", "value"]).where(distance <= radius).select("_id", "item_id", distance.alias("distance")).distinct()
-    checked = near.join(signed, "_id").join(item_bits, "item_id").withColumn("similarity", similarity(F.col("window"), F.col("parts"), rare))
+    near = slots.join(item_slots, ["n_words", "block", "value"]).where(distance <= radius).select("_id", "item_key", distance.alias("distance")).distinct()
+    checked = near.join(signed, "_id").join(item_bits, "item_key").withColumn("similarity", similarity(F.col("window"), F.col("parts"), rare))
     return checked.where(F.col("similarity") >= at_least).select("doc_id", "digest", "item_id", F.greatest("start_word", F.lit(0)).alias("start_word"), "n_words", "distance", "similarity")
 
 

@@ -277,6 +277,14 @@ def test_leaks_equal_all_windows(spark, table, odd_texts):
     assert decontaminate.leaks(table([]), bench).count() == 0 and decontaminate.leaks(df, bench.limit(0)).count() == 0
 
 
+def test_items_without_an_id_leak_too(spark, table):
+    items = [" ".join(words(20, ("null", i))) for i in range(3)]
+    bench = spark.createDataFrame([(None, items[0]), (None, items[0]), (None, items[1]), (7, items[2])], "item_id bigint, text string")
+    df = table([f"before it {t} and after" for t in items] + ["nothing of it here"])
+    assert sorted((r["doc_id"], r["item_id"]) for r in decontaminate.leaks(df, bench).collect()) == [(0, None), (1, None), (2, 7)]
+    assert [r["doc_id"] for r in decontaminate.without_leaks(df, bench).collect()] == [3]
+
+
 def test_blocks_guarantee_the_radius(spark):
     rng = random.Random(6)
     rows = []
