@@ -5,7 +5,7 @@ fixed number of slots by hash. Every slot has a sparse index vector of +1 and -1
 made from its number. A slot's word vector is the sum of the index vectors of its
 neighbours over the whole corpus, scaled to unit length, so its table has the same
 size for any corpus. A text is pooled into the mean and the spread of its word
-vectors, its most even and its rarest parts. A network with one hidden layer, in
+vectors, the likeness of neighbours, and its length. A network with one hidden layer, in
 numpy, is fitted on a bounded sample of labelled texts, and a temperature on texts
 kept apart makes its outputs probabilities.
 """
@@ -160,7 +160,17 @@ class Network:
     temperature: float = 1.0
 
     def logit(self, x: np.ndarray) -> np.ndarray:
-        return np.tanh((x - self.mean) / self.scale @ self.w1 + self.b1) @ self.w2 + self.b2
+        """Sums in a fixed order for each row: those of a matrix product depend on how
+        many rows are multiplied at once, and equal texts would differ in the last bits."""
+        x = (x - self.mean) / self.scale
+        hidden = np.tile(self.b1, (len(x), 1))
+        for j, weights in enumerate(self.w1):
+            hidden += x[:, j : j + 1] * weights
+        hidden = np.tanh(hidden)
+        out = np.full(len(x), self.b2)
+        for k, weight in enumerate(self.w2):
+            out += hidden[:, k] * weight
+        return out
 
     def score(self, x: np.ndarray) -> np.ndarray:
         return sigmoid(self.logit(x) / self.temperature)
@@ -202,13 +212,19 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
-def learned(found: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Network | None:
-    """Fit on the labelled rows of ``found(doc_id, x)`` that aren't held out, at
-    most ``sample`` of them (those of the smallest hashes). None without any label
-    of both kinds."""
-    labelled = labels.where("quality in (0, 1)").groupBy("doc_id").agg(F.max("quality").alias("quality")).where(~held_out(F.col("doc_id")))
-    labelled = labelled.withColumn("h", F.xxhash64("doc_id")).orderBy("h").limit(sample)
-    rows = found.join(labelled, "doc_id").select("h", "quality", "x").orderBy("h").limit(sample).collect()
+def labelled(keys: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """``(doc_id, quality, h)``: the labels to learn from, at most ``sample`` (those of the
+    smallest hashes), of keys that ``keys(doc_id)`` holds and that aren't held out."""
+    known = labels.where("quality in (0, 1)").groupBy("doc_id").agg(F.max("quality").alias("quality")).where(~held_out(F.col("doc_id")))
+    there = known.join(keys.select("doc_id"), "doc_id", "left_semi")
+    return stored(there.withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id").limit(sample))
+
+
+def learned(found: DataFrame, known: DataFrame, sample: int = SAMPLE) -> Network | None:
+    """Fit on the rows of ``found(doc_id, x)`` that ``known`` has labels for, at most
+    ``sample`` of them. None without any label of both kinds."""
+    rows = found.join(F.broadcast(known), "doc_id").select("h", "quality", "x")  # at most ``sample`` rows are broadcast
+    rows = rows.orderBy("h", F.xxhash64("x")).limit(sample).collect()
     y = np.array([r["quality"] for r in rows], dtype=float)
     if len(set(y)) < 2:
         return None
@@ -229,7 +245,7 @@ def scores(df: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: fl
     """
     rows = keyed_texts(df, key, text)
     found = stored(features(rows, word_vectors(rows)))
-    net = learned(found, labels.select("doc_id", "quality"), sample)
+    net = learned(found, labelled(found, labels, sample), sample)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -247,8 +263,8 @@ def kept(df: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: floa
     are pooled again instead of joined to their scores, which moves no text."""
     rows = keyed_texts(df, key, text)
     vectors = word_vectors(rows)
-    wanted = labels.where(~held_out(F.col("doc_id"))).select("doc_id").distinct()
-    net = learned(stored(features(rows.join(wanted, "doc_id", "left_semi"), vectors)), labels.select("doc_id", "quality"), sample)
+    known = labelled(rows, labels, sample)
+    net = learned(stored(features(rows.join(F.broadcast(known), "doc_id", "left_semi"), vectors)), known, sample)
     if net is None:
         return df
     at = df.columns.index(text)
