@@ -64,6 +64,34 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+#: Bits of the filter of ``maybe_among``: 4 MB, whatever it holds.
+FILTER_BITS = 1 << 25
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def maybe_among(df: DataFrame, keys: DataFrame, columns: list[str], out: str) -> DataFrame:
+    """``df`` with ``out``: false where the values of ``columns`` are surely in no row of
+    ``keys``, so that only the other rows need be moved to a join with ``keys``.
+
+    A bit filter of fixed size is broadcast. The more keys there are, the more rows pass
+    it; with very many all do, and the join then moves everything.
+    """
+    place = F.pmod(F.xxhash64(*columns), F.lit(FILTER_BITS))
+    bucket, bits, at = (free_name(df, n) for n in ("_bucket", "_bits", "_at"))
+    marked = keys.select(place.alias(at)).groupBy(F.bitmap_bucket_number(at).alias(bucket)).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias(bits))
+    here = df.withColumn(at, place).join(F.broadcast(marked), F.bitmap_bucket_number(at) == F.col(bucket), "left")
+    position = F.bitmap_bit_position(at)
+    byte = F.conv(F.hex(F.substring(bits, F.floor(position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("bigint")
+    return here.withColumn(out, F.coalesce(F.getbit(byte, (position % 8).cast("int")) == 1, F.lit(False))).drop(bucket, bits, at)
+
+
 def in_blocks(texts: list[str], rows: int = 256, chars: int = 4_000_000) -> Iterator[tuple[int, int]]:
     """Ranges of rows that hold a bounded number of characters, one row at least."""
     start = size = 0

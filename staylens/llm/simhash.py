@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from staylens.llm import nearness
 from staylens.llm.components import components
-from staylens.llm.shared import SEED, keyed_texts, stored
+from staylens.llm.shared import free_name, maybe_among, SEED, keyed_texts, stored
 
 BITS = 64
 RADIUS = 3
@@ -218,15 +218,22 @@ def classes(df: DataFrame, rule: Rule = NARROW, key: str = "doc_id", text: str =
 def representatives(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``df``, unchanged, that stay: of each component the row of the
     smallest key (NULL keys last, equal keys by a hash of the text), and of repeated
-    rows one."""
-    found = nearness.classes(df, key, text)
+    rows one. Rows that are alone in their component stay where they are."""
+    found = stored(nearness.classes(df, key, text))
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "digest")
-    stays = found.groupBy("class_name").agg(F.min_by(F.struct("doc_id", "digest"), order).alias("k"))
-    same = ["_near_key", "_near_null", "_near_digest"]
-    identity = lambda k, digest: [F.coalesce(k, F.lit(0)).alias(same[0]), k.isNull().alias(same[1]), digest.alias(same[2])]
-    stays = stored(stays.select(*identity(F.col("k.doc_id"), F.col("k.digest"))))
+    stays = found.groupBy("class_name").agg(F.min_by(F.struct("doc_id", "digest"), order).alias("k"), F.count("*").alias("n")).where("n > 1")
+    none, value, digest, maybe = (free_name(df, n) for n in ("_near_null", "_near_key", "_near_digest", "_near_maybe"))
+    same = [none, value, digest]
+    identity = lambda k, d: [k.isNull().alias(none), F.coalesce(k, F.lit(0).cast(df.schema[key].dataType)).alias(value), d.alias(digest)]
+    member = found.join(stored(stays.select("class_name", "k")), "class_name")
+    first = F.col("doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("digest") == F.col("k.digest"))
+    decided = stored(member.select(*identity(F.col("doc_id"), F.col("digest")), first.alias("first")).groupBy(*same).agg(F.max("first").alias("first"), F.count("*").alias("n")))
     rows = df.select("*", *identity(df[key], F.xxhash64(F.coalesce(df[text].cast("string"), F.lit("")))))
-    return rows.join(stays, same, "left_semi").dropDuplicates(same).select(*df.columns)
+    rows = maybe_among(rows, decided.where(~F.col("first") | (F.col("n") > 1)), same, maybe)
+    alone = rows.where(~F.col(maybe)).select(*df.columns)
+    gone = decided.where(~F.col("first")).select(*same)
+    rest = rows.where(maybe).join(gone, same, "left_anti").dropDuplicates(same).select(*df.columns)
+    return alone.unionByName(rest)
 
 
 def near_duplicates(df: DataFrame, **options) -> DataFrame:
