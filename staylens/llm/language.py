@@ -32,7 +32,7 @@ SAMPLE = 20_000
 #: Pages' worth of the wider level in each smoothed prior.
 WEIGHT = 4.0
 
-HIDDEN = re.compile(r"(?is)<(script|style|noscript|template)\b.*?(?:</\1\s*>|\Z)|<!--.*?(?:-->|\Z)|<[^>]*>")
+HIDDEN = re.compile(r"(?is)<(script|style|noscript|template)\b.*?(?:</\1\s*>|\Z)|<!--.*?(?:-->|\Z)|<[^<>]*>")
 COMMENT = re.compile(r"(?s)<!--.*?(?:-->|\Z)")
 #: Tags are consumed whole, so that many openings without an end are read once.
 HTML_TAG = re.compile(r"(?i)<html\b[^>]*")

@@ -31,10 +31,11 @@ from pyspark.sql import functions as F
 from staylens.llm.boosting import Boosted, platt, sigmoid
 from staylens.llm.shared import keyed_texts, stored
 
-#: Base formats, in the order in which kinds are listed.
+#: Base formats, in the order in which kinds are listed. An ip begins where
+#: its run of digits does, as the leftmost match does anyhow; said so, long runs are read once.
 BASE = {
     "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
-    "ip": re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+    "ip": re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
     "card": re.compile(r"[0-9]([\x20-]?[0-9])+"),
     "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
 }

@@ -23,7 +23,7 @@ from staylens.llm.shared import keyed_texts, stored
 MIN_WORDS = 25
 MIN_SENTENCES = 2
 #: A sentence ends after its marks and the white space that follows, or with its line.
-ENDS = re.compile(r"[.!?]+\s+|\n\s*")
+ENDS = re.compile(r"(?<![.!?])[.!?]++\s+|\n\s*")
 
 
 def sentences(text: str) -> list[str]:

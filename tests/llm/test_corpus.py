@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import random
+import time
 
 import numpy as np
 import pytest
@@ -10,8 +11,8 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from staylens.llm import components, decontaminate, nearness, pii, revisit, simhash, sketches, substring
-from staylens.llm.shared import keyed_texts
+from staylens.llm import components, decontaminate, language, nearness, pii, revisit, simhash, sketches, substring
+from staylens.llm.shared import keyed_texts, maybe_among
 
 from .conftest import LINES
 
@@ -228,6 +229,50 @@ def test_similar_texts_are_one_class(table, bucket):
     assert [first.setdefault(bytes(out[i]), i) for i in range(len(texts))] == want
 
 
+@pytest.mark.parametrize("chunk", [nearness.CHUNK, 2000])
+def test_groups_of_copies_lose_no_link(table, chunk):
+    """Copies of which some pairs are just below the threshold: a pair that fails must not hide the next one."""
+    texts = []
+    for g in range(24):
+        base = " ".join(words(250, ("group", g)))
+        texts += [edited(base, 2 + (g + k) % 9, f"{g}/{k}") for k in range(25)]
+    sets = [runs(t) for t in texts]
+    alike = lambda a, b: len(a & b) >= 0.8 * len(a | b)
+    want, below = [], 0
+    for g in range(24):
+        own = sets[g * 25 : g * 25 + 25]
+        want += [r + g * 25 for r in brute_components(own, alike)]
+        below += sum(not alike(a, b) for a, b in itertools.combinations(own, 2))
+    assert below > 1000
+    out = {r["doc_id"]: bytes(r["class_name"]) for r in nearness.classes(table(texts), chunk=chunk).collect()}
+    first = {}
+    assert [first.setdefault(out[i], i) for i in range(len(texts))] == want
+
+
+def test_filter_of_fixed_size_lets_all_keys_pass(spark):
+    keys = spark.range(0, 3000, 7).select(F.col("id").cast("string").alias("k"), (F.col("id") % 5).alias("m"))
+    df = spark.range(3000).select(F.col("id").cast("string").alias("k"), (F.col("id") % 5).alias("m"), F.lit(1).alias("_bits"))
+    out = maybe_among(df, keys, ["k", "m"], "there")
+    assert out.columns == ["k", "m", "_bits", "there"]
+    passed = {int(r["k"]) for r in out.where("there").collect()}
+    assert set(range(0, 3000, 7)) <= passed and len(passed) < 440
+    assert maybe_among(df, keys.limit(0), ["k", "m"], "there").where("there").count() == 0
+
+
+def test_representatives_beside_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "a b", 1, 2, 3, 4), (2, "A  b", 1, 2, 3, 4), (None, "c", 1, 2, 3, 4), (None, "c", 5, 2, 3, 4)], "doc_id bigint, text string, _near_key int, _near_null int, _near_digest int, _near_maybe int")
+    kept = simhash.representatives(df)
+    assert kept.columns == df.columns and sorted((r["doc_id"] or 0, r["text"]) for r in kept.collect()) == [(0, "c"), (1, "a b")]
+
+
+@pytest.mark.parametrize("find", [pii.BASE["ip"].findall, substring.sentences, language.visible])
+@pytest.mark.parametrize("sign", "1.<! \n")
+def test_long_runs_of_one_sign_are_read_once(find, sign):
+    start = time.perf_counter()
+    find(sign * 400_000)
+    assert time.perf_counter() - start < 20  # seconds of quadratic work would be thousands
+
+
 # -- decontamination
 
 
