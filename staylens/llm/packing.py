@@ -18,6 +18,7 @@ moves, and what a pool leaves over goes into the next one.
 
 from __future__ import annotations
 
+import os
 import sys
 import zlib
 from array import array
@@ -200,6 +201,8 @@ class WordIds:
     token's string goes to the library as a whole."""
 
     def __init__(self, path: str):
+        # Tasks take all cores already; threads of the library would only compete with them.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
