@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from staylens.llm.boosting import sigmoid
-from staylens.llm.shared import keyed_texts, stored
+from staylens.llm.shared import keyed_texts, pieces, stored
 
 SLOTS = 8192
 SIZE = 32
@@ -44,7 +44,7 @@ class Slots(dict):
     """Word to slot; emptied when full."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) >= 500_000:
+        if len(self) >= 100_000:
             self.clear()
         self[word] = slot = zlib.crc32(word.encode("utf-8")) % SLOTS
         return slot
@@ -89,12 +89,12 @@ def contexts(df: DataFrame) -> DataFrame:
                     for k in range(NONZERO):
                         total[:] += np.bincount(x * np.int64(SIZE) + at[y, k], weights=sign[y, k], minlength=SLOTS * SIZE)
 
-        for batch in batches:
+        for batch in pieces(batches):
             for text in batch.column(0).to_pylist():
                 found = slots(text)
                 held.extend((found, gap))
                 size += len(found)
-                if size > 16 * BLOCK:
+                if size > 4 * BLOCK:
                     add()
         add()
         table = total.reshape(SLOTS, SIZE)
@@ -140,7 +140,7 @@ def features(df: DataFrame, vectors: np.ndarray) -> DataFrame:
     kind = df.schema["doc_id"].dataType.simpleString()
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             x = [pooled(t, vectors).astype(np.float32) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.list_(pa.float32()))], ["doc_id", "x"])
 
@@ -248,7 +248,7 @@ def scores(df: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: fl
     net = learned(found, labelled(found, labels, sample), sample)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(len(batch), -1) if len(batch) else np.zeros((0, 1))
             p = np.full(len(batch), 0.5) if net is None or not len(batch) else net.score(x)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p, pa.float64())], ["doc_id", "score"])
@@ -270,7 +270,7 @@ def kept(df: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: floa
     at = df.columns.index(text)
 
     def good(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             x = [pooled(t or "", vectors).astype(np.float32) for t in batch.column(at).to_pylist()]
             yield batch.filter(pa.array(net.score(np.array(x)) >= threshold if x else [], pa.bool_()))
 

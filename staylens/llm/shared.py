@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,6 +65,13 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def pieces(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of few rows, so that few texts are Python objects at once."""
+    for batch in batches:
+        for start in range(0, len(batch), rows):
+            yield batch.slice(start, rows)
+
+
 #: Bits of the filter of ``maybe_among``: 4 MB, whatever it holds.
 FILTER_BITS = 1 << 25
 
