@@ -243,7 +243,7 @@ def q_calibrated_scores(spark, sf):
     b = result.bundle
     matrix = train.load_matrix(feature_store(spark, sf), b.features, "risk_target", ["stay_id"])
     split = ranking.stratified_split(matrix, "risk_target", "stay_id")
-    raw = train.raw_scores(b.model, train._assemble(split, b.features, b.medians))
+    raw = train.raw_scores(b.model, train._filled(split, b.features, b.medians))
     sigmoid = train.fit_calibrator(raw.where("split = 'validation'"), "risk_target", "sigmoid")
     return train.calibrate(sigmoid, raw, "score").select("stay_id", "risk_target", "split", "score")
 
@@ -254,13 +254,13 @@ def q_top_importance(spark, sf):
 
 
 def q_contributions(spark, sf):
-    result, path = trained(spark, sf)
-    explained = score.with_contributors(feature_store(spark, sf), result.bundle, f"{path}/model")
+    result, _ = trained(spark, sf)
+    explained = score.with_contributors(feature_store(spark, sf), result.bundle)
     return explained.select("stay_id", F.inline("top_contributors"))
 
 
 def q_batch_score(spark, sf):
-    result, path = trained(spark, sf)
+    _, path = trained(spark, sf)
     bundle = train.load_bundle(spark, path)
     top = train.features_json(train.importances(bundle, spark))
     return plain(score.score_table(feature_store(spark, sf), bundle, top).drop("created_at"))
@@ -283,8 +283,8 @@ def requests_of(spark, sf):
 
 
 def q_envelope(spark, sf):
-    result, path = trained(spark, sf)
-    responses, _ = score.score_requests(requests_of(spark, sf), result.bundle, f"{path}/model")
+    result, _ = trained(spark, sf)
+    responses, _ = score.score_requests(requests_of(spark, sf), result.bundle)
     return responses.select("request_id", F.to_json(F.struct("*")).alias("response"))
 
 

@@ -1,14 +1,11 @@
-"""Training, calibration and evaluation of the risk model on MLlib."""
+"""Training, calibration and evaluation of the risk model."""
 
 from __future__ import annotations
 
 import json
 from dataclasses import asdict, dataclass, field
 
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
+from pyspark.ml.regression import IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +13,9 @@ from staylens import schema as S
 from staylens.functions import clinical
 from staylens.functions.text import finite
 from staylens.operators import metrics, ranking, rows
+from staylens.plans import boosting, forest
+from staylens.plans.calibrate import Sigmoid, fit_isotonic, fit_sigmoid, score_counts
+from staylens.plans.forest import Forest
 from staylens.session import cut_lineage
 
 
@@ -46,8 +46,8 @@ class Params:
 class Bundle:
     """Everything that scoring needs. ``metadata`` holds names and settings."""
 
-    model: GBTClassificationModel
-    calibrator: IsotonicRegressionModel | LogisticRegressionModel
+    model: Forest
+    calibrator: IsotonicRegressionModel | Sigmoid
     medians: dict[str, float]
     features: list[str]
     metadata: dict = field(default_factory=dict)
@@ -105,12 +105,13 @@ def class_weight(counts: dict[int, int]) -> float:
     return counts.get(0, 0) / counts[1] if counts.get(1) else 1.0
 
 
-def _assemble(df: DataFrame, features: list[str], medians: dict[str, float]) -> DataFrame:
-    filled = df.select("*", *[filled_with(c, medians[c]).alias(f"_x_{c}") for c in features])
-    vector = VectorAssembler(
-        inputCols=[f"_x_{c}" for c in features], outputCol="_features", handleInvalid="keep"
-    ).transform(filled)
-    return vector.drop(*[f"_x_{c}" for c in features])
+def _filled(df: DataFrame, features: list[str], medians: dict[str, float]) -> DataFrame:
+    """Add the model's inputs as ``_x_`` columns."""
+    return df.select("*", *[filled_with(c, medians[c]).alias(f"_x_{c}") for c in features])
+
+
+def inputs(features: list[str]) -> list[str]:
+    return [f"_x_{c}" for c in features]
 
 
 # --- model ---------------------------------------------------------------------------
@@ -127,94 +128,49 @@ def best_iteration(losses: list[float], patience: int) -> int:
     return best + 1
 
 
-def train_gbt(data: DataFrame, label: str, weight: float, params: Params) -> GBTClassificationModel:
-    """Boosted trees on the train rows, as many as serve the validation rows best.
-
-    All trees are fitted, their losses on the validation rows are read in one pass,
-    and where fewer are better the model is fitted again with so many: the seed
-    gives the same trees, and the stored model holds no others.
-    """
-    ready = data.where("split <> 'test'").select(
-        "_features",
-        "split",
-        F.col(label).cast("double").alias("_label"),
-        F.when(F.col(label) == 1, F.lit(float(weight))).otherwise(1.0).alias("_weight"),
-    )
-    train_rows, validation = ready.where("split = 'train'"), ready.where("split = 'validation'")
-
-    def fit(trees: int) -> GBTClassificationModel:
-        return GBTClassifier(
-            featuresCol="_features", labelCol="_label", weightCol="_weight", maxIter=trees,
-            maxDepth=params.depth, stepSize=params.learning_rate, subsamplingRate=params.row_share,
-            featureSubsetStrategy=str(params.column_share), seed=params.seed,
-        ).fit(train_rows)
-
-    model = fit(params.trees)
-    if validation.isEmpty():
-        return model
-    best = best_iteration(model.evaluateEachIteration(validation), params.patience)
-    return model if best == params.trees else fit(best)
-
-
-def raw_scores(model: GBTClassificationModel, data: DataFrame, out: str = "_raw_score") -> DataFrame:
-    scored = model.transform(data)
-    return scored.withColumn(out, vector_to_array("probability")[1]).drop(
-        "rawPrediction", "probability", "prediction"
+def train_gbt(
+    data: DataFrame, features: list[str], label: str, key: str, weight: float, params: Params
+) -> Forest:
+    """Boosted trees on the train rows, up to the one whose AUC on the validation rows is
+    best. Trees grow one after the other and stop ``patience`` trees after the best."""
+    settings = boosting.Settings(
+        trees=params.trees, patience=params.patience, depth=params.depth, rate=params.learning_rate,
+        row_share=params.row_share, column_share=params.column_share, seed=params.seed, weight=weight,
     )
+    grown, areas = boosting.fit(data, inputs(features), label, key, settings, features)
+    if areas:
+        grown.trees = grown.trees[: best_iteration([-a for a in areas], params.patience)]
+    return grown
+
+
+def raw_scores(model: Forest, data: DataFrame, out: str = "_raw_score") -> DataFrame:
+    """Uncalibrated probability from filled inputs, in generated code."""
+    scored = forest.with_margin(data, model, inputs(model.features), "_margin")
+    return scored.withColumn(out, forest.probability(F.col("_margin"))).drop("_margin")
 
 
 def fit_calibrator(scored: DataFrame, label: str, method: str, score: str = "_raw_score"):
-    """Fit on rows counted per score: the same fit on far fewer rows."""
-    counts = scored.groupBy(score).agg(
-        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")
-    )
+    """Fit on rows counted per score: the same fit on fewer rows."""
+    counts = score_counts(scored, label, score)
     if method == "isotonic":
-        data = counts.select(
-            F.col(score).alias("_raw_score"),
-            (F.col("pos") / (F.col("pos") + F.col("neg"))).alias("_label"),
-            (F.col("pos") + F.col("neg")).cast("double").alias("_weight"),
-        )
-        return IsotonicRegression(
-            featuresCol="_raw_score", labelCol="_label", weightCol="_weight",
-            predictionCol="_calibrated",
-        ).fit(data)
+        return fit_isotonic(counts)
     if method != "sigmoid":
         raise TrainingInputError(f"unknown calibration method: {method}")
-    total = counts.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")).first()
-    high, low = (total["p"] + 1) / (total["p"] + 2), 1 / (total["n"] + 2)
-    on = F.col("pos") * high + F.col("neg") * low
-    off = F.col("pos") * (1 - high) + F.col("neg") * (1 - low)
-    data = counts.select(
-        F.col(score).alias("_raw_score"),
-        F.inline(
-            F.array(
-                F.struct(F.lit(1.0).alias("_label"), on.alias("_weight")),
-                F.struct(F.lit(0.0).alias("_label"), off.alias("_weight")),
-            )
-        ),
-    )
-    vector = VectorAssembler(inputCols=["_raw_score"], outputCol="_score_vector").transform(data)
-    return LogisticRegression(
-        featuresCol="_score_vector", labelCol="_label", weightCol="_weight", standardization=False,
-        probabilityCol="_score_probability", predictionCol="_score_class",
-        rawPredictionCol="_score_margin",
-    ).fit(vector)
+    return fit_sigmoid(counts)
 
 
 def calibrate(calibrator, df: DataFrame, out: str) -> DataFrame:
     """Calibrated probability from ``_raw_score``."""
     if isinstance(calibrator, IsotonicRegressionModel):
         return calibrator.transform(df).withColumnRenamed("_calibrated", out)
-    vector = VectorAssembler(inputCols=["_raw_score"], outputCol="_score_vector").transform(df)
-    return calibrator.transform(vector).withColumn(
-        out, vector_to_array("_score_probability")[1]
-    ).drop("_score_vector", "_score_probability", "_score_class", "_score_margin")
+    return df.withColumn(out, calibrator.column(F.col("_raw_score")))
 
 
 def predict(bundle: Bundle, df: DataFrame, out: str = "score") -> DataFrame:
     """Impute, score and calibrate rows that hold the feature columns."""
-    data = _assemble(df, bundle.features, bundle.medians)
-    return calibrate(bundle.calibrator, raw_scores(bundle.model, data), out).drop("_raw_score", "_features")
+    data = _filled(df, bundle.features, bundle.medians)
+    scored = raw_scores(bundle.model, data).drop(*inputs(bundle.features))
+    return calibrate(bundle.calibrator, scored, out).drop("_raw_score")
 
 
 @dataclass
@@ -239,8 +195,8 @@ def train(
     fills = fit_medians(train_rows, features)
     counts = class_counts(train_rows, label)
     weight = class_weight(counts)
-    data = _assemble(split, features, fills)
-    model = train_gbt(data, label, weight, params)
+    data = _filled(split, features, fills)
+    model = train_gbt(data, features, label, key, weight, params)
     scored_raw = cut_lineage(raw_scores(model, data).select(key, label, "split", "_raw_score"))
     sizes = {"train": 0, "validation": 0, "test": 0}
     sizes |= {r["split"]: r["n"] for r in scored_raw.groupBy("split").agg(F.count("*").alias("n")).collect()}
@@ -259,6 +215,7 @@ def train(
             "negative_train_rows": counts.get(0, 0),
             "tree_count": model.getNumTrees,
             "best_iteration": model.getNumTrees,
+            "base_margin": model.base,
             "feature_count": len(features),
             **{f"{name}_rows": n for name, n in sizes.items()},
             "params": asdict(params),
@@ -272,7 +229,7 @@ def train(
 # --- importances ------------------------------------------------------------------
 
 def importances(bundle: Bundle, spark: SparkSession, k: int = 20) -> DataFrame:
-    values = bundle.model.featureImportances.toArray()
+    values = bundle.model.importances()
     table = spark.createDataFrame(
         [(i, n, float(v)) for i, (n, v) in enumerate(zip(bundle.features, values))],
         "ordinal int, feature string, importance double",
@@ -298,9 +255,12 @@ FULL_FEATURE_COUNT = len(S.MODEL_FEATURES)
 
 def save_bundle(bundle: Bundle, path: str) -> str:
     spark = SparkSession.active()
-    bundle.model.write().overwrite().save(f"{path}/model")
-    bundle.calibrator.write().overwrite().save(f"{path}/calibrator")
-    meta = {**bundle.metadata, "feature_names": bundle.features, "medians": bundle.medians}
+    forest.save(bundle.model, spark, f"{path}/model")
+    meta = {**bundle.metadata, "feature_names": bundle.features, "medians": bundle.medians, "base_margin": bundle.model.base}
+    if isinstance(bundle.calibrator, Sigmoid):
+        meta |= {"calibration_method": "sigmoid", "sigmoid": asdict(bundle.calibrator)}
+    else:
+        bundle.calibrator.write().overwrite().save(f"{path}/calibrator")
     spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.mode(
         "overwrite"
     ).text(f"{path}/metadata")
@@ -322,8 +282,8 @@ def check_metadata(meta: dict) -> None:
 def load_bundle(spark: SparkSession, path: str) -> Bundle:
     meta = json.loads(spark.read.text(f"{path}/metadata").first()["value"])
     check_metadata(meta)
-    sigmoid = meta.get("calibration_method") == "sigmoid"
-    calibrator = (LogisticRegressionModel if sigmoid else IsotonicRegressionModel).load(f"{path}/calibrator")
-    model = GBTClassificationModel.load(f"{path}/model")
     features, medians = meta.pop("feature_names"), meta.pop("medians")
+    sigmoid = meta.pop("sigmoid", None)
+    calibrator = Sigmoid(**sigmoid) if sigmoid else IsotonicRegressionModel.load(f"{path}/calibrator")
+    model = forest.load(spark, f"{path}/model", features, meta.get("base_margin", 0.0))
     return Bundle(model, calibrator, medians, features, meta)
