@@ -10,7 +10,7 @@ from catalog.oracle import with_ctes
 from catalog.shape import plain
 from staylens.plans import pipeline, train
 from staylens.session import work_dir
-from staylens.sources import files, tables
+from staylens.sources import files, ledger, tables
 
 K = "o_orderkey"
 
@@ -75,6 +75,47 @@ FROM (SELECT CAST(stay_id AS BIGINT) AS stay_id, subject_id, heartrate,
 """
 
 
+# Offsets that come from the keys: eight batches, whatever the size.
+_OFFSETS = "CAST(o_orderkey % 8000 AS BIGINT)"
+
+
+def q_append_batches(spark, sf):
+    """The first half is loaded, then all of it is offered again: rows, rejects and ledger."""
+    root = work_dir(spark, "ledger")
+    df = bind.run_sql(spark, sf, _TEXTS).withColumn("at", F.expr(_OFFSETS.replace("o_orderkey", "CAST(stay_id AS BIGINT)")))
+    declared = ("at", 1000, "stay_id bigint, subject_id bigint, heartrate decimal(6,2)", ["stay_id", "subject_id"])
+    ledger.append_in_batches(df.where("at < 4000"), root, *declared)
+    ledger.append_in_batches(df, root, *declared)
+    good, bad, lines = ledger.load(spark, root), ledger.load(spark, root, "rejects"), ledger.ledger(spark, root)
+    none = F.lit(None).cast("bigint")
+    kept = plain(good).select(F.lit("row").alias("kind"), "stay_id", "heartrate", none.alias("first"), none.alias("loaded"), none.alias("rejected"))
+    lost = bad.select(F.lit("reject").alias("kind"), F.col("stay_id").cast("bigint").alias("stay_id"), F.lit(None).cast("double").alias("heartrate"), none.alias("first"), none.alias("loaded"), none.alias("rejected"))
+    noted = lines.select(F.lit("batch").alias("kind"), F.col("batch").alias("stay_id"), F.lit(None).cast("double").alias("heartrate"), "first", "loaded", "rejected")
+    return kept.unionByName(lost).unionByName(noted)
+
+
+O_APPEND_BATCHES = f"""
+WITH t AS (SELECT CAST(stay_id AS BIGINT) AS stay_id, CAST(TRY_CAST(heartrate AS DECIMAL(6,2)) AS DOUBLE) AS heartrate,
+    {_OFFSETS.replace("o_orderkey", "CAST(stay_id AS BIGINT)")} // 1000 AS batch, coalesce(subject_id = 'n/a', false) OR coalesce(heartrate = 'high', false) AS bad
+  FROM ({_TEXTS.replace('{orders}', 'orders')}))
+SELECT CASE WHEN bad THEN 'reject' ELSE 'row' END AS kind, stay_id, CASE WHEN NOT bad THEN heartrate END AS heartrate,
+  CAST(NULL AS BIGINT) AS first, CAST(NULL AS BIGINT) AS loaded, CAST(NULL AS BIGINT) AS rejected FROM t
+UNION ALL
+SELECT 'batch', batch, NULL, batch * 1000, COUNT(*) FILTER (WHERE NOT bad), COUNT(*) FILTER (WHERE bad) FROM t GROUP BY batch
+"""
+
+
+def q_replace_in_one_commit(spark, sf):
+    """As replace_slice, over commits: the other slice's files stay as they are."""
+    root = work_dir(spark, "commits")
+    cols = ["stay_id", "model_name", "model_version", "risk_score"]
+    first = bind.raw(spark, sf, "risk_predictions").select(*cols)
+    ledger.replace_slice(first, root, ["model_name", "model_version"])
+    renewed = first.where("model_version = 'v2'").withColumn("risk_score", F.lit(0.5).cast("decimal(6,5)"))
+    ledger.replace_slice(renewed, root, ["model_name", "model_version"])
+    return plain(ledger.load(spark, root))
+
+
 def q_replace_slice(spark, sf):
     """Both model versions are stored; then one is scored again."""
     path = work_dir(spark, "slices")
@@ -254,6 +295,8 @@ QUERIES = {
     "csv_repair": q_csv_repair,
     "append_valid": q_append_valid,
     "replace_slice": q_replace_slice,
+    "append_batches": q_append_batches,
+    "replace_in_one_commit": q_replace_in_one_commit,
     "backup_if_absent": q_backup_if_absent,
     "evolve_schema": q_evolve_schema,
     "save_table": q_save_table,
@@ -268,6 +311,8 @@ ORACLES = {
     "csv_repair": O_CSV_REPAIR,
     "append_valid": O_APPEND_VALID,
     "replace_slice": O_REPLACE_SLICE,
+    "append_batches": O_APPEND_BATCHES,
+    "replace_in_one_commit": O_REPLACE_SLICE,
     "backup_if_absent": O_BACKUP,
     "evolve_schema": O_EVOLVE,
     "save_table": O_SAVE_TABLE,
