@@ -31,12 +31,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staylens.llm.shared import in_blocks, keyed_texts, tokenizer_path
+from staylens.llm.shared import in_blocks, keyed_texts, pieces, tokenizer_path
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 #: Words whose ids one Python worker keeps: so many newer ones, and as many used before them.
-CACHE = 500_000
+CACHE = 200_000
+#: Characters of a word that is kept.
+LONGEST = 100
 
 PIECE_SCHEMA = pa.schema(
     [
@@ -231,9 +233,14 @@ class WordIds:
 
     def of(self, texts: list[str]) -> list[bytes]:
         split = [None if "<|" in t and any(a in t for a in self.added) else self.cut(t) for t in texts]
-        self.learn(set().union(*(words for words in split if words is not None)))
+        used = set().union(*(words for words in split if words is not None))
+        self.learn(used)
         known = self.words.__getitem__
-        return [self.encode([t])[0] if words is None else b"".join(map(known, words)) for t, words in zip(texts, split)]
+        out = [self.encode([t])[0] if words is None else b"".join(map(known, words)) for t, words in zip(texts, split)]
+        for word in used:
+            if len(word) > LONGEST:
+                del self.words[word]
+        return out
 
 
 _IDS: dict[str, WordIds] = {}
@@ -251,7 +258,7 @@ def _pack(rows: DataFrame, examples: Callable[[pa.RecordBatch], Iterator[Example
         kinds: list[pa.DataType] = []
 
         def all_examples() -> Iterator[Example]:
-            for batch in batches:
+            for batch in pieces(batches):
                 kinds.append(batch.schema.field(0).type)
                 yield from examples(batch)
 
