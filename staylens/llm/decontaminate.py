@@ -2,16 +2,20 @@
 
 A window has as many words as the benchmark item it is held against, less where the
 text begins or ends inside it. A window can only be similar to an item if the two
-share a shingle, so windows are placed where a text holds a shingle of an item, at
-the start that lines the two up. Each window gets a SimHash. It is cut into radius + 1 blocks; a
-fingerprint within the radius of an item's agrees with it in one block at least, so
-joining on (words, block, bits of the block) finds all of them. What is found is
-checked by weighted-shingle similarity, exactly. All of it is built-in functions of
-Spark; no Python runs in tasks.
+share a shingle, so windows are placed where a text holds a shingle of an item: at
+the start that lines the two up, and where a run of such shingles begins or ends at the
+window's own border (moved on to there, a window is no less similar). A window is bound to the items whose rarest shingles it
+holds: of these, as many are taken as weigh more than a window may miss. Each window
+gets a SimHash. It is cut into radius + 1 blocks; a fingerprint within the radius of an
+item's agrees with it in one block at least, so joining on (item, block, bits of the
+block) finds all of them. What is found is checked by weighted-shingle similarity,
+exactly. All of it is built-in functions of Spark; no Python runs in tasks.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,9 +23,11 @@ from staylens.llm.shared import keyed_texts, stored, text_of
 from staylens.llm.sketches import shingle_hashes
 
 WORDS = 5
-RADIUS = 15
+#: Bits. Windows of similarity 0.8 differ in 10 bits on average, with a deviation of 3.
+RADIUS = 21
 SIMILARITY = 0.8
-#: Shingles of the benchmark up to which its table is sent to all tasks; beyond, both sides are shuffled.
+#: Shingles of the benchmark up to which its table is sent to all tasks; beyond, shingles are shuffled
+#: (16 bytes and the key each), and windows are cut from the texts that hold one.
 BROADCAST_ROWS = 500_000
 
 
@@ -54,26 +60,39 @@ def blocks(bits: Column, radius: int) -> Column:
 
 
 def benchmark_items(benchmark: DataFrame, words: int, item: str, text: str) -> DataFrame:
-    """``(item_key, item_id, n_words, shingles)`` of the items that have words.
+    """``(item_id, form, n_words, shingles)`` of the items that have words.
 
-    ``item_key`` is never NULL: it tells items apart in joins, also where their ids are NULL or equal.
+    ``form`` stands for the words: items of equal words share it, whatever their ids
+    are, and are compared once. Equal rows count once.
     """
-    rows = benchmark.select(F.col(item).alias("item_id"), text_of(text).alias("text"))
-    rows = rows.withColumn("item_key", F.xxhash64("item_id", F.col("item_id").isNull(), "text"))
-    return stored(with_shingles(rows.dropDuplicates(["item_key"]), words).drop("text").where("n_words > 0"))
+    rows = benchmark.select(F.col(item).alias("item_id"), text_of(text).alias("text")).distinct()
+    return stored(with_shingles(rows, words).drop("text").where("n_words > 0").withColumn("form", F.xxhash64("n_words", "shingles")))
 
 
 def weighted(items: DataFrame) -> tuple[DataFrame, Column]:
-    """Items with ``parts``, their different shingles with count and weight
-    ln(1 + items / items that hold it), and the weight of a shingle of one item."""
-    rare = F.log1p(F.lit(float(max(1, items.count()))))
-    exploded = items.select("item_key", "item_id", "n_words", "shingles", F.explode("shingles").alias("h"))
-    counts = exploded.groupBy("item_key", "item_id", "n_words", "shingles", "h").agg(F.count("*").alias("c"))
-    held = counts.groupBy("h").agg(F.count("*").alias("held"))
-    parts = counts.join(held, "h").groupBy("item_key", "item_id", "n_words", "shingles").agg(
-        F.collect_list(F.struct("h", "c", F.log1p(F.lit(float(max(1, items.count()))) / F.col("held")).alias("w"))).alias("parts")
+    """``(form, n_words, shingles, parts)``: ``parts`` are the different shingles with
+    count and weight ln(1 + items / items that hold it). And the weight of a shingle of
+    one item."""
+    n = F.lit(float(max(1, items.count())))
+    forms = items.groupBy("form", "n_words").agg(F.first("shingles").alias("shingles"), F.count("*").alias("n_items"))
+    counts = forms.select("form", "n_items", F.explode("shingles").alias("h")).groupBy("form", "n_items", "h").agg(F.count("*").alias("c"))
+    held = counts.groupBy("h").agg(F.sum("n_items").alias("held"))
+    weights = counts.join(held, "h").groupBy("form").agg(F.collect_list(F.struct("h", "c", F.log1p(n / F.col("held")).alias("w"))).alias("parts"))
+    return forms.drop("n_items").join(weights, "form"), F.log1p(n)
+
+
+def rarest(parts: Column, at_least: float) -> Column:
+    """Shingles of an item, the heaviest first, that weigh more together than a window of
+    similarity ``at_least`` may miss. Each such window holds one of them."""
+    weight = lambda p: p["w"] * p["c"]
+    missed = (1 - at_least + 1e-9) * F.aggregate(parts, F.lit(0.0), lambda s, p: s + weight(p))
+    heaviest = F.array_sort(F.transform(parts, lambda p: F.struct((-p["w"]).alias("order"), p["h"].alias("h"), weight(p).alias("all"))))
+    nothing = F.struct(F.lit(0.0).alias("all"), F.array().cast("array<bigint>").alias("hs"))
+    taken = F.aggregate(
+        heaviest, nothing,
+        lambda s, p: F.when(s["all"] > missed, s).otherwise(F.struct((s["all"] + p["all"]).alias("all"), F.concat(s["hs"], F.array(p["h"])).alias("hs"))),
     )
-    return parts, rare
+    return taken["hs"]
 
 
 def similarity(window: Column, parts: Column, rare: Column) -> Column:
@@ -85,6 +104,52 @@ def similarity(window: Column, parts: Column, rare: Column) -> Column:
     return low / (high + rare * other)
 
 
+def windows_of(texts: DataFrame, items: DataFrame, words: int) -> DataFrame:
+    """``(doc_id, digest, item_words, start_word, window)`` where a text holds a shingle
+    of an item of at least ``words`` words."""
+    wanted = items.select(F.col("n_words").alias("item_words"), F.posexplode("shingles").alias("item_at", "h"))
+    wanted = wanted.select("item_words", "item_at", "h").distinct()
+    held = wanted.select(F.col("item_words").alias("_words"), F.col("h").alias("_h")).distinct()
+    # The outer form: for the other, Spark would infer a filter on the array and push it below the words, to compute all again.
+    placed = texts.select("doc_id", "digest", "shingles", F.posexplode_outer("shingles").alias("at", "h"))
+    placed = placed.withColumns({"before": F.when(F.col("at") > 0, F.get("shingles", F.col("at") - 1)), "after": F.get("shingles", F.col("at") + 1)})
+    small = (items.agg(F.sum(F.size("shingles"))).first()[0] or 0) <= BROADCAST_ROWS
+    if small:  # Nothing is shuffled before the joins, so a row may hold on to its text's shingles.
+        wanted, held = F.broadcast(wanted), F.broadcast(held)
+    else:
+        placed = placed.drop("shingles")
+    hits = placed.join(wanted, "h")
+    for side in ("before", "after"):
+        beside = held.select(F.col("_words").alias(f"_words_{side}"), F.col("_h").alias(f"_{side}"))
+        hits = hits.join(beside, (F.col("item_words") == F.col(f"_words_{side}")) & (F.col(side) == F.col(f"_{side}")), "left")
+    at = F.col("at")
+    begins, ends = F.when(F.col("_before").isNull(), at), F.when(F.col("_after").isNull(), at - F.col("item_words") + words)
+    starts = F.array_distinct(F.array_compact(F.array(at - F.col("item_at"), begins, ends)))
+    if small:
+        placed = hits.select("doc_id", "digest", "item_words", "shingles", F.explode(starts).alias("start_word"))
+    else:
+        places = hits.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), "item_words", F.explode(starts).alias("start_word"))
+        placed = texts.join(stored(places.distinct()), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest")))
+    length = F.col("item_words") - (words - 1) + F.least(F.col("start_word"), F.lit(0))
+    window = F.slice("shingles", F.greatest(F.col("start_word"), F.lit(0)) + 1, F.greatest(length, F.lit(1)))
+    cut = placed.select("doc_id", "digest", "item_words", "start_word", window.alias("window"))
+    return stored(cut.groupBy("doc_id", "digest", "item_words", "start_word").agg(F.first("window").alias("window")))
+
+
+def short_leaks(texts: DataFrame, items: DataFrame, words: int) -> DataFrame:
+    """Items of fewer than ``words`` words, found anywhere as a run of words."""
+    lengths = [n for n in range(1, words) if items.where(F.col("n_words") == n).head(1)]
+    if not lengths:
+        return texts.select("doc_id", "digest", F.lit(0).cast("bigint").alias("form"), F.lit(0).alias("start_word"), F.lit(0).alias("n_words")).limit(0)
+    split = texts.select("doc_id", "digest", normal_words(F.col("text")).alias("_words"))
+    runs = [
+        split.where(F.size("_words") >= n).select("doc_id", "digest", F.lit(n).alias("n_words"), F.posexplode(shingle_hashes(F.col("_words"), n)).alias("start_word", "h"))
+        for n in lengths
+    ]
+    short = items.where(F.col("n_words") < words).select("form", "n_words", F.get("shingles", F.lit(0)).alias("h")).distinct()
+    return reduce(DataFrame.unionByName, runs).join(short, ["n_words", "h"]).select("doc_id", "digest", "form", "start_word", "n_words").distinct()
+
+
 def leaks(
     df: DataFrame,
     benchmark: DataFrame,
@@ -101,34 +166,30 @@ def leaks(
     ``n_words``, ``distance`` (bits), ``similarity``.
 
     Texts and items without words, NULL or empty, leak nothing and are no leak.
-    Items of fewer words than a shingle are one shingle, held against single-run
-    texts only. Repeated rows give the same windows once. NULL keys stay NULL.
+    Items of fewer words than a shingle are one run of words, found wherever it
+    stands. Repeated rows give the same windows once. NULL keys stay NULL.
     """
     items = benchmark_items(benchmark, words, item, item_text)
-    parts, rare = weighted(items)
-    wanted = items.select(F.col("n_words").alias("item_words"), F.posexplode("shingles").alias("item_at", "h"))
-    wanted = wanted.select("item_words", "item_at", "h").distinct()
-    if (items.agg(F.sum(F.size("shingles"))).first()[0] or 0) <= BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
-
-    texts = with_shingles(keyed_texts(df, key, text).withColumn("digest", F.xxhash64("text")), words).drop("text")
-    # The outer form: for the other, Spark would infer a filter on the array and push it below the words, to compute all again.
-    hits = texts.select("doc_id", "digest", "shingles", F.posexplode_outer("shingles").alias("at", "h")).join(wanted, "h")
-    start = F.col("at") - F.col("item_at")
-    length = F.col("item_words") - (words - 1) + F.least(start, F.lit(0))
-    window = F.slice("shingles", F.greatest(start, F.lit(0)) + 1, F.greatest(length, F.lit(1)))
-    windows = hits.select("doc_id", "digest", "item_words", start.alias("start_word"), window.alias("window"))
-    windows = stored(windows.groupBy("doc_id", "digest", "item_words", "start_word").agg(F.first("window").alias("window")))
-
-    signed = windows.withColumn("bits", simhash(F.col("window")))
+    plain = keyed_texts(df, key, text).withColumn("digest", F.xxhash64("text"))
+    long_ = items.where(F.col("n_words") >= words)
+    parts, rare = weighted(long_)
+    parts = stored(parts.withColumn("item_bits", simhash(F.col("shingles"))).withColumn("rarest", rarest(F.col("parts"), at_least)).drop("shingles"))
+    signed = windows_of(with_shingles(plain, words).drop("text", "n_words"), long_, words).withColumn("bits", simhash(F.col("window")))
     signed = stored(signed.withColumn("_id", F.xxhash64("doc_id", "digest", "item_words", "start_word")))
-    item_bits = stored(parts.withColumn("item_bits", simhash(F.col("shingles"))).drop("shingles"))
-    slots = signed.select("_id", F.col("item_words").alias("n_words"), "bits", F.explode(blocks(F.col("bits"), radius)).alias("b")).select("_id", "n_words", "bits", "b.*")
-    item_slots = item_bits.select("item_key", "n_words", "item_bits", F.explode(blocks(F.col("item_bits"), radius)).alias("b")).select("item_key", "n_words", "item_bits", "b.*")
+
+    # A window meets the items alone whose rarest shingles it holds.
+    anchors = parts.select(F.col("n_words").alias("item_words"), "form", F.explode("rarest").alias("h"))
+    bound = signed.select("_id", "item_words", "bits", F.explode(F.array_distinct("window")).alias("h")).join(anchors, ["item_words", "h"]).select("_id", "form", "bits").distinct()
+    slots = bound.select("_id", "form", "bits", F.explode(blocks(F.col("bits"), radius)).alias("b")).select("_id", "form", "bits", "b.*")
+    item_slots = parts.select("form", "item_bits", F.explode(blocks(F.col("item_bits"), radius)).alias("b")).select("form", "item_bits", "b.*")
     distance = F.bit_count(F.col("bits").bitwiseXOR(F.col("item_bits")))
-    near = slots.join(item_slots, ["n_words", "block", "value"]).where(distance <= radius).select("_id", "item_key", distance.alias("distance")).distinct()
-    checked = near.join(signed, "_id").join(item_bits, "item_key").withColumn("similarity", similarity(F.col("window"), F.col("parts"), rare))
-    return checked.where(F.col("similarity") >= at_least).select("doc_id", "digest", "item_id", F.greatest("start_word", F.lit(0)).alias("start_word"), "n_words", "distance", "similarity")
+    near = slots.join(item_slots, ["form", "block", "value"]).where(distance <= radius).select("_id", "form", distance.alias("distance")).distinct()
+
+    checked = near.join(signed, "_id").join(parts, "form").withColumn("similarity", similarity(F.col("window"), F.col("parts"), rare))
+    found = checked.where(F.col("similarity") >= at_least).select("doc_id", "digest", "form", F.greatest("start_word", F.lit(0)).alias("start_word"), "n_words", "distance", "similarity")
+    short = short_leaks(plain, items, words).withColumns({"distance": F.lit(0), "similarity": F.lit(1.0)})
+    ids = items.select("form", "item_id").distinct()
+    return found.unionByName(short).join(ids, "form").select("doc_id", "digest", "item_id", "start_word", "n_words", "distance", "similarity")
 
 
 def without_leaks(df: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

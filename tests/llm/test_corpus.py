@@ -296,8 +296,8 @@ def brute_leaks(texts, items, at_least=0.8):
             for a in range(-n, len(w)):
                 win = shingles[max(a, 0) : max(a + max(n - 4, 1), 0)]
                 mine = {s: g.count(s) for s in g}
-                if not any(0 <= a + k < len(shingles) and shingles[a + k] == x for k, x in enumerate(g)):
-                    continue  # no shingle of the item in its place
+                if not set(win) & set(g):
+                    continue
                 weight = {s: np.log1p(len(parts) / held[s]) for s in mine}
                 low = sum(weight[s] * min(c, win.count(s)) for s, c in mine.items())
                 high = sum(weight[s] * max(c, win.count(s)) for s, c in mine.items()) + rare * sum(s not in mine for s in win)
@@ -322,6 +322,64 @@ def test_leaks_equal_all_windows(spark, table, odd_texts):
     assert decontaminate.leaks(table([]), bench).count() == 0 and decontaminate.leaks(df, bench.limit(0)).count() == 0
 
 
+def test_large_benchmarks_are_joined_by_shuffle(spark, table, odd_texts, monkeypatch):
+    items = [" ".join(words(18 + i, ("big", i))) for i in range(5)]
+    texts = odd_texts + [f"{t} and more" for t in items] + [edited(items[0], 1, 3), items[1] + " " + items[1]] * 2
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    rows = lambda: sorted(map(tuple, decontaminate.leaks(table(texts), bench).collect()))
+    sent = rows()
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", 0)
+    assert sent and rows() == sent
+
+
+def test_items_of_few_words_are_found_inside(spark, table):
+    bench = spark.createDataFrame([(1, "Rare name"), (2, "one two three four"), (3, "unseen")], "item_id bigint, text string")
+    texts = ["it is a rare, NAME of him", "rare other name", "zero one two three four five", "one two three", None, "Rare name rare name"]
+    got = sorted((r["doc_id"], r["item_id"], r["start_word"]) for r in decontaminate.leaks(table(texts), bench).collect())
+    assert got == [(0, 1, 3), (2, 2, 1), (5, 1, 0), (5, 1, 2)]
+
+
+def test_equal_items_are_all_reported(spark, table):
+    item = " ".join(words(20, "equal"))
+    bench = spark.createDataFrame([(i, item) for i in range(40)] + [(40, item.upper())], "item_id bigint, text string")
+    got = decontaminate.leaks(table([f"so {item} it is", item]), bench).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in got) == [(d, i) for d in range(2) for i in range(41)]
+
+
+def test_windows_near_the_threshold_against_all_windows(spark, table):
+    """Every start is tried here, not only those that line up; copies lose words, gain words and swap them."""
+    rng, texts = random.Random(8), []
+    items = [words(rng.randint(20, 60), ("near", i)) for i in range(12)]
+    for k in range(240):
+        w = list(items[k % 12])
+        for _ in range(rng.randint(1, 2)):
+            at = rng.randrange(len(w))
+            w[at : at + rng.randint(0, 1)] = [f"new{rng.randrange(99)}"] * rng.randint(0, 1)
+        texts.append(" ".join(words(rng.randint(0, 9), k) + w + words(rng.randint(0, 9), -k)))
+    grams = lambda w: [tuple(w[i : i + 5]) for i in range(len(w) - 4)]
+    held = {}
+    for i in items:
+        for s in set(grams(i)):
+            held[s] = held.get(s, 0) + 1
+    want, rare = set(), np.log1p(12)
+    for d, t in enumerate(texts):
+        all_ = grams(t.split())
+        for i, it in enumerate(items):
+            g = grams(it)
+            for a in range(-len(g) + 1, len(all_) if set(g) & set(all_) else 0):
+                win = all_[max(a, 0) : a + len(g)]
+                if len(set(win) & set(g)) < len(g) / 2:
+                    continue
+                low = sum(np.log1p(12 / held[s]) * min(g.count(s), win.count(s)) for s in set(g))
+                high = sum(np.log1p(12 / held[s]) * max(g.count(s), win.count(s)) for s in set(g)) + rare * sum(s not in g for s in win)
+                if low / high >= 0.8:
+                    want.add((d, i))
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id bigint, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(table(texts), bench).collect()}
+    assert got <= want and len(want) > 60
+    assert len(got) >= 0.99 * len(want)
+
+
 def test_items_without_an_id_leak_too(spark, table):
     items = [" ".join(words(20, ("null", i))) for i in range(3)]
     bench = spark.createDataFrame([(None, items[0]), (None, items[0]), (None, items[1]), (7, items[2])], "item_id bigint, text string")
