@@ -190,6 +190,46 @@ SELECT CAST({K} AS VARCHAR) AS request_id, CAST(o_custkey AS VARCHAR) AS patient
 """
 
 
+# One line per order; of every eight, four are requests.
+_LINES = f"""SELECT {K}, CASE {K} % 8
+    WHEN 0 THEN concat('{{{{"request_id": "', CAST({K} AS VARCHAR(30)), '", "features"')
+    WHEN 1 THEN concat('{{{{"request_id": "', CAST({K} AS VARCHAR(30)), '", "features": {{{{"hr_min": 5, "acuity": "high"}}}}}}}}')
+    WHEN 2 THEN concat('{{{{"request_id": "', CAST({K} AS VARCHAR(30)), '", "subject": "text", "features": [1, 2]}}}}')
+    WHEN 3 THEN concat('{{{{"request_id": "', CAST({K} AS VARCHAR(30)), '", "subject": null}}}}')
+    WHEN 4 THEN CAST({K} AS VARCHAR(30))
+    ELSE concat('{{{{"request_id": "', CAST({K} AS VARCHAR(30)), '", "subject": {{{{"patient_id": ', CAST(o_custkey AS VARCHAR(30)), '}}}}, "features": {{{{"acuity": ',
+      CAST({K} % 5 AS VARCHAR(30)), '.5, "hr_min": null}}}}}}}}') END AS value FROM {{orders}}"""
+
+
+def q_request_errors(spark, sf):
+    """Request lines, of which some are cut off, some no object and some of wrong types."""
+    path = work_dir(spark, "lines")
+    bind.run_sql(spark, sf, _LINES).select("value").write.text(path)
+    good, bad = files.read_requests_checked(spark, path)
+    none = F.lit(None).cast("string")
+    kept = good.select(
+        "request_id", F.col("subject.patient_id").alias("patient_id"), F.col("features")["acuity"].alias("acuity"),
+        F.coalesce(F.size("features"), F.lit(-1)).alias("n_features"), none.alias("error_code"), none.alias("paths"), none.alias("record"),
+    )
+    lost = bad.select(
+        "request_id", none.alias("patient_id"), F.lit(None).cast("double").alias("acuity"), F.lit(-1).alias("n_features"),
+        "error_code", F.concat_ws("|", "paths").alias("paths"), "record",
+    )
+    return kept.unionByName(lost)
+
+
+O_REQUEST_ERRORS = f"""
+SELECT CASE WHEN {K} % 8 NOT IN (0, 4) THEN CAST({K} AS VARCHAR) END AS request_id,
+  CASE WHEN {K} % 8 > 4 THEN CAST(o_custkey AS VARCHAR) END AS patient_id,
+  CASE WHEN {K} % 8 > 4 THEN {K} % 5 + 0.5::DOUBLE END AS acuity,
+  CAST(CASE WHEN {K} % 8 > 4 THEN 2 ELSE -1 END AS INT) AS n_features,
+  CASE WHEN {K} % 8 IN (0, 4) THEN 'not_json' WHEN {K} % 8 IN (1, 2) THEN 'wrong_type' END AS error_code,
+  CASE WHEN {K} % 8 IN (0, 4) THEN '' WHEN {K} % 8 = 1 THEN 'features.acuity' WHEN {K} % 8 = 2 THEN 'features|subject' END AS paths,
+  CASE WHEN {K} % 8 IN (0, 1, 2, 4) THEN value END AS record
+FROM ({_LINES.replace("{orders}", "orders").replace("{{", "{").replace("}}", "}").replace(f"SELECT {K},", f"SELECT {K}, o_custkey,")})
+"""
+
+
 def q_csv_round_trip(spark, sf):
     """A report written as CSV and read with its schema."""
     folder = work_dir(spark, "csv")
@@ -301,6 +341,7 @@ QUERIES = {
     "evolve_schema": q_evolve_schema,
     "save_table": q_save_table,
     "read_requests": q_read_requests,
+    "request_errors": q_request_errors,
     "csv_round_trip": q_csv_round_trip,
     "repair_vital_sign": q_repair_vital_sign,
     "repair_triage": q_repair_triage,
@@ -317,6 +358,7 @@ ORACLES = {
     "evolve_schema": O_EVOLVE,
     "save_table": O_SAVE_TABLE,
     "read_requests": O_READ_REQUESTS,
+    "request_errors": O_REQUEST_ERRORS,
     "csv_round_trip": O_CSV_ROUND_TRIP,
     "repair_vital_sign": _repair_sql(),
 }
