@@ -10,7 +10,7 @@ from catalog.oracle import with_ctes
 from catalog.shape import plain
 from staylens.plans import pipeline, train
 from staylens.session import work_dir
-from staylens.sources import files, ledger, tables
+from staylens.sources import files, ledger, quoted, tables
 
 K = "o_orderkey"
 
@@ -46,6 +46,25 @@ SELECT CAST(o_custkey AS VARCHAR) AS subject_id, CASE WHEN NOT cut THEN CAST({K}
 FROM (SELECT *, o_orderpriority = '5-LOW' AS cut FROM orders)
 """
 
+_NOTE = """CASE o_orderstatus WHEN 'F' THEN concat('"first', chr(10), 'second, ""', o_orderpriority, '""', chr(10), '"') ELSE o_orderpriority END"""
+
+
+def q_csv_quoted(spark, sf):
+    """Quoted texts with line breaks, read by byte ranges."""
+    path = work_dir(spark, "quoted")
+    lines = bind.run_sql(spark, sf, f"SELECT concat_ws(',', CAST(o_custkey AS STRING), CAST({K} AS STRING), {_NOTE}) AS value FROM {{orders}}")
+    head = F.lit("subject_id,stay_id,chiefcomplaint\n")
+    numbered = lines.select(F.monotonically_increasing_id().alias("_i"), "value")
+    numbered.select(F.when(F.col("_i") % (1 << 33) == 0, F.concat(head, "value")).otherwise(F.col("value")).alias("value")).write.text(path)
+    return quoted.read_quoted_csv(spark, path, ["subject_id", "stay_id", "chiefcomplaint"])
+
+
+O_CSV_QUOTED = f"""
+SELECT CAST(o_custkey AS VARCHAR) AS subject_id, CAST({K} AS VARCHAR) AS stay_id,
+  CASE o_orderstatus WHEN 'F' THEN 'first' || chr(10) || 'second, "' || o_orderpriority || '"' || chr(10) ELSE o_orderpriority END AS chiefcomplaint
+FROM orders
+"""
+
 _TEXTS = f"""SELECT CAST({K} AS STRING) AS stay_id, CASE WHEN o_orderstatus = 'P' THEN 'n/a' ELSE CAST(o_custkey AS STRING) END AS subject_id,
   CASE o_orderpriority WHEN '1-URGENT' THEN 'high' WHEN '2-HIGH' THEN NULL ELSE CAST({K} % 200 AS STRING) END AS heartrate
 FROM {{orders}}"""
@@ -333,6 +352,7 @@ def q_stage_runner(spark, sf):
 
 QUERIES = {
     "csv_repair": q_csv_repair,
+    "csv_quoted": q_csv_quoted,
     "append_valid": q_append_valid,
     "replace_slice": q_replace_slice,
     "append_batches": q_append_batches,
@@ -350,6 +370,7 @@ QUERIES = {
 ORACLES = {
     "repair_triage": _triage_sql(),
     "csv_repair": O_CSV_REPAIR,
+    "csv_quoted": O_CSV_QUOTED,
     "append_valid": O_APPEND_VALID,
     "replace_slice": O_REPLACE_SLICE,
     "append_batches": O_APPEND_BATCHES,
