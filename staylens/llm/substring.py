@@ -6,11 +6,16 @@ many words). Where a run ends depends on nothing before it, so a passage gives t
 same runs wherever it stands. Of the places of a run, over all texts, the first
 (by key, then by position) is kept; sentences that lie in a run at any other place
 are removed.
+
+A sentence of more than ``LONG`` words counts as several: it is cut after words that
+their own hash chooses, and between two equal words, so that a passage that begins or
+ends inside it is cut alike in every text.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -18,22 +23,45 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staylens.llm.shared import keyed_texts, stored
+from staylens.llm.shared import keyed_texts, maybe_among, stored
 
 MIN_WORDS = 25
 MIN_SENTENCES = 2
 #: A sentence ends after its marks and the white space that follows, or with its line.
 ENDS = re.compile(r"(?<![.!?])[.!?]++\s+|\n\s*")
+#: Words of a sentence that is not cut, and of a piece of a longer one on average.
+LONG, PIECE = 24, 5
+WORD = re.compile(r"\S+\s*")
+
+
+def pieces_of(sentence: str) -> Iterator[str]:
+    """The sentence, cut at places that depend on the words beside them alone."""
+    words = WORD.findall(sentence)
+    if len(words) <= LONG:
+        yield sentence
+        return
+    at, begin, last = len(sentence) - sum(map(len, words)), 0, ""
+    for w in words:
+        word = w.rstrip().lower()
+        if word == last and at > begin:
+            yield sentence[begin:at]
+            begin = at
+        at, last = at + len(w), word
+        if zlib.crc32(word.encode("utf-8", "surrogatepass")) % PIECE == 0:
+            yield sentence[begin:at]
+            begin = at
+    if at > begin:
+        yield sentence[begin:at]
 
 
 def sentences(text: str) -> list[str]:
-    """All of the text, in sentences with the white space after them."""
+    """All of the text, in sentences, or pieces of long ones, with the white space after them."""
     out, at = [], 0
     for m in ENDS.finditer(text):
-        out.append(text[at : m.end()])
+        out += pieces_of(text[at : m.end()])
         at = m.end()
     if at < len(text):
-        out.append(text[at:])
+        out += pieces_of(text[at:])
     return out
 
 
@@ -87,12 +115,13 @@ def repeated_spans(df: DataFrame, min_words: int = MIN_WORDS, min_sentences: int
 
     Hashes are summed up per run before they are shuffled in full, and what is
     repeated is written before it is joined, so that Spark may split a run that
-    very many texts hold.
+    very many texts hold. A bit filter keeps most other runs out of that join.
     """
     rows = stored(span_rows(_texts(df, key, text), min_words, min_sentences))
     place = F.struct("doc_id", "digest", "first")
     seen = rows.groupBy("high", "low").agg(F.min(place).alias("origin"), F.count("*").alias("n"))
     repeated = stored(seen.where("n > 1").drop("n"))
+    rows = maybe_among(rows, repeated, ["high", "low"], "_maybe").where("_maybe").drop("_maybe")
     later = rows.join(repeated, ["high", "low"]).where(~place.eqNullSafe(F.col("origin")))
     return stored(later.select("doc_id", "digest", "first", "upto", F.col("origin.doc_id").alias("kept_in")).distinct())
 

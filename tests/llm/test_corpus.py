@@ -38,7 +38,7 @@ def runs(text, n=5):
 
 
 def test_sentences_are_all_of_the_text():
-    for t in ["", "a", "A b. C d! E\nf\n\n g?? h", " x. ", "\n"]:
+    for t in ["", "a", "A b. C d! E\nf\n\n g?? h", " x. ", "\n", "  " + "a  b " * 40, " ".join(words(300, 1)), "\ud800 " * 30]:
         assert "".join(substring.sentences(t)) == t
 
 
@@ -81,6 +81,25 @@ def test_repeats_equal_brute_force(table, odd_texts):
     assert {r["doc_id"]: r["text"] for r in substring.without_repeats(table(texts)).collect()} == want
 
 
+def test_passages_without_sentence_ends_are_found(table):
+    def inside(passage, *seed):
+        return f"{' '.join(words(20 + seed[0] % 9, (seed, 0)))} {passage} {' '.join(words(25, (seed, 1)))}"
+
+    filler = " ".join(["the"] * 60)
+    texts = [inside(filler, 1, "f"), inside(filler, 2, "f")]
+    texts += [inside(" ".join(words(51, ("p", i))), i, copy) for copy in "ab" for i in range(40)]
+    texts += [" ".join(words(200, ("own", i))) for i in range(5)]
+    out = {r["doc_id"]: r for r in substring.without_repeats(table(texts)).collect()}
+    assert out[1]["text"].split().count("the") <= 2  # the outer ones lie in pieces with the words beside them
+    assert all(k in (0, 1) or 42 <= k < 82 for k in out)  # 0 repeats its own filler
+    found = [i for i in range(40) if i + 42 in out]
+    assert len(found) >= 37  # the shortest passages, of 51 words; where cuts lie is chance
+    for i in found:
+        left, passage = out[i + 42]["text"].split(), words(51, ("p", i))
+        assert len(left) <= len(texts[i + 42].split()) - substring.MIN_WORDS
+        assert [w for w in texts[i + 42].split() if w not in passage and w not in left] == []
+
+
 def test_rows_of_one_key(table):
     text = " ".join(LINES)
     same = substring.without_repeats(table([text, text], [5, 5]))
