@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from catalog import bind
 from catalog.oracle import with_ctes
 from staylens.functions import clinical
+from staylens.operators import arrays
 from staylens.plans import interpret as I
 from staylens.schema import VITALS, VITAL_NAMES
 
@@ -143,7 +144,7 @@ def q_interpret_patterns(spark, sf):
 
 
 def q_interpret_evidence(spark, sf):
-    rows = interpreted(spark, sf).select(K, F.inline("clinical_indicators"))
+    rows = arrays.rows_of_array(interpreted(spark, sf), "clinical_indicators", K)
     return rows.select(
         K, "indicator", "severity", F.array_join("evidence", "; ").alias("evidence"), "doctor_message"
     )
@@ -166,7 +167,7 @@ def q_data_quality(spark, sf):
 
 
 def q_interpret_drivers(spark, sf):
-    return interpreted(spark, sf).select(K, F.inline("dominant_clinical_drivers"))
+    return arrays.rows_of_array(interpreted(spark, sf), "dominant_clinical_drivers", K)
 
 
 # --- oracle: the rules as plain CASE over the same rows ---------------------------

@@ -256,7 +256,7 @@ def q_top_importance(spark, sf):
 def q_contributions(spark, sf):
     result, _ = trained(spark, sf)
     explained = score.with_contributors(feature_store(spark, sf), result.bundle)
-    return explained.select("stay_id", F.inline("top_contributors"))
+    return arrays.rows_of_array(explained, "top_contributors", "stay_id")
 
 
 def q_batch_score(spark, sf):

@@ -147,6 +147,23 @@ def test_medians(spark):
     assert got["c"] is None and train.fit_medians(df, ["c"]) == {"c": 0.0}
 
 
+def test_rows_of_array(spark):
+    kind = "_pos int, a array<struct<_pos_:int,x:string>>"
+    df = spark.createDataFrame([(1, [(5, "p"), (6, None)]), (2, []), (3, None), (4, [(None, None)])], kind)
+    got = arrays.rows_of_array(df, "a", "_pos")
+    assert got.columns == ["_pos", "_pos_", "x"]
+    assert sorted(tuple(r) for r in got.collect() if r[1]) == [(1, 5, "p"), (1, 6, None)]
+    assert [tuple(r) for r in got.collect() if not r[1]] == [(4, None, None)]
+
+
+def test_metrics_without_rows_or_of_one_class(spark):
+    none = metrics.evaluate(spark.createDataFrame([(None, 1), (0.5, None)], "s double, y int"), "s", "y", 0.4).first()
+    assert none["brier_score"] is None and none["confusion_matrix_tp"] == 0 and none["accuracy"] == 0
+    one = metrics.evaluate(spark.createDataFrame([(0.5, 1), (0.3, 1), (0.3, 1)], "s double, y int"), "s", "y", 0.4).first()
+    assert (one["roc_auc"], one["pr_auc"], one["confusion_matrix_tp"], one["confusion_matrix_fn"]) == (0.0, 1.0, 1, 2)
+    assert one["brier_score"] == pytest.approx((0.25 + 2 * 0.49) / 3)
+
+
 def test_metrics_against_brute_force(spark):
     rnd = random.Random(4)
     data = [(round(rnd.random(), 2), rnd.randrange(2)) for _ in range(300)] + [(1.0, 1), (0.0, 0)]
