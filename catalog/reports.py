@@ -169,6 +169,21 @@ O_NULL_REPORT = with_ctes(" UNION ALL ".join(
 ))
 
 
+def q_raw_columns(spark, sf):
+    """Columns of the raw tables in their order, with type and missing values."""
+    return rows.union_all([
+        rows.columns_of(df).join(profile.null_report(df, RUN), "column_name").withColumn("table_name", F.lit(t))
+        for t, df in bind.raw_tables(spark, sf).items()
+    ])
+
+
+O_RAW_COLUMNS = with_ctes(" UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, CAST({i} AS INT) AS ordinal, '{c}' AS column_name, '{kind.lower()}' AS data_type, '{RUN}' AS run_id, "
+    f"COUNT(*) FILTER (WHERE {c} IS NULL) AS null_count, {_pct(f'COUNT(*) FILTER (WHERE {c} IS NULL)', 'COUNT(*)')} AS null_percentage FROM raw_{t}"
+    for t in S.RAW_TABLES for i, (c, kind) in enumerate(_DDL[t], 1)
+))
+
+
 def q_summary_row(spark, sf):
     return checks.feature_summary(feature_store(spark, sf), RUN)
 
@@ -358,6 +373,7 @@ QUERIES = {
     "value_counts": q_value_counts,
     "distinct_values": q_distinct_values,
     "null_report": q_null_report,
+    "raw_columns": q_raw_columns,
     "summary_row": q_summary_row,
     "cleaned_checks": q_cleaned_checks,
     "feature_checks": q_feature_checks,
@@ -376,6 +392,7 @@ ORACLES = {
     "value_counts": O_VALUE_COUNTS,
     "distinct_values": O_DISTINCT_VALUES,
     "null_report": O_NULL_REPORT,
+    "raw_columns": O_RAW_COLUMNS,
     "summary_row": O_SUMMARY_ROW,
     "cleaned_checks": _checks_sql(),
     "feature_checks": O_FEATURE_CHECKS,

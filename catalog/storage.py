@@ -8,6 +8,8 @@ from catalog import bind
 from catalog.cleaning import cleaned
 from catalog.oracle import with_ctes
 from catalog.shape import plain
+from staylens import schema as S
+from staylens.operators import checks
 from staylens.plans import pipeline, train
 from staylens.session import work_dir
 from staylens.sources import files, ledger, quoted, tables
@@ -162,6 +164,32 @@ def q_backup_if_absent(spark, sf):
 O_BACKUP = with_ctes("SELECT triage_id, stay_id, acuity FROM raw_triage")
 
 
+def _grown(spark, sf):
+    """Raw tables after their backup was taken: some have lost or gained rows."""
+    now = dict(bind.raw_tables(spark, sf))
+    now["triage"] = now["triage"].where("acuity IS NOT NULL")
+    now["vital_sign"] = now["vital_sign"].unionByName(now["vital_sign"].where("pain IS NULL"))
+    return now
+
+
+def q_backup_report(spark, sf):
+    """Row counts of raw tables beside their backups, which a second backup leaves as they are."""
+    folder, now = work_dir(spark, "backups"), _grown(spark, sf)
+    tables.backup_if_absent(bind.raw_tables(spark, sf), folder)
+    return checks.backup_report(now, tables.backup_if_absent(now, folder), "run")
+
+
+_NOW = {
+    "triage": "(SELECT COUNT(acuity) FROM raw_triage)",
+    "vital_sign": "(SELECT COUNT(*) + COUNT(*) FILTER (WHERE pain IS NULL) FROM raw_vital_sign)",
+}
+O_BACKUP_REPORT = with_ctes(" UNION ALL ".join(
+    f"SELECT 'run' AS run_id, '{t}' AS raw_table, '{t}_raw_backup' AS backup_table, a AS raw_row_count, b AS backup_row_count, a = b AS counts_match "
+    f"FROM (SELECT {_NOW.get(t, f'(SELECT COUNT(*) FROM raw_{t})')} AS a, (SELECT COUNT(*) FROM raw_{t}) AS b)"
+    for t in S.RAW_TABLES
+))
+
+
 def q_evolve_schema(spark, sf):
     """A table without the severity columns gets them as NULL, then new rows."""
     path = work_dir(spark, "evolve")
@@ -358,6 +386,7 @@ QUERIES = {
     "append_batches": q_append_batches,
     "replace_in_one_commit": q_replace_in_one_commit,
     "backup_if_absent": q_backup_if_absent,
+    "backup_report": q_backup_report,
     "evolve_schema": q_evolve_schema,
     "save_table": q_save_table,
     "read_requests": q_read_requests,
@@ -376,6 +405,7 @@ ORACLES = {
     "append_batches": O_APPEND_BATCHES,
     "replace_in_one_commit": O_REPLACE_SLICE,
     "backup_if_absent": O_BACKUP,
+    "backup_report": O_BACKUP_REPORT,
     "evolve_schema": O_EVOLVE,
     "save_table": O_SAVE_TABLE,
     "read_requests": O_READ_REQUESTS,
