@@ -20,7 +20,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates (five words, similarity 0.8) the smallest doc_id stays."""
+    """Of each group of near duplicates the smallest doc_id stays: texts whose SimHash differs in three
+    bits at most, and texts whose five-word shingles have an exact similarity of 0.8."""
     return simhash.representatives(docs)
 
 

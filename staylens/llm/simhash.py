@@ -15,8 +15,8 @@ so that masks split no further, it is dealt into chunks, and each pair of chunks
 compared in a task of its own: all pairs are seen, none is emitted but the edges.
 
 Three-word shingles at radius 3 miss most texts that share 80 % of their five-word
-shingles, which differ in ten bits or more. ``representatives`` takes its groups from
-``nearness``, which checks that similarity exactly.
+shingles, which differ in ten bits or more. ``representatives`` joins the classes of
+fingerprints with those of ``nearness``, which checks that similarity exactly.
 """
 
 from __future__ import annotations
@@ -215,11 +215,31 @@ def classes(df: DataFrame, rule: Rule = NARROW, key: str = "doc_id", text: str =
     return rows.join(members, ["bits", "check"]).select("doc_id", "digest", "bits", "class_name", "component_id")
 
 
+def joint_classes(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row: ``doc_id``, ``digest`` and ``class_name``: texts that the links of ``classes``
+    and the exact similarity of ``nearness`` chain together.
+
+    Classes of both kinds are the nodes, and a text is an edge between its two. Only
+    classes that meet several of the other kind need components.
+    """
+    same = ["doc_id", "digest"]
+    linked = classes(df, NARROW, key, text).select(*same, F.concat(F.lit("f"), "class_name").alias("linked")).distinct()
+    alike = nearness.classes(df, key, text).select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), F.concat(F.lit("s"), F.hex("class_name")).alias("alike"))
+    both = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest"))
+    rows = stored(alike.join(linked, both).select(*same, "linked", "alike"))
+    pairs = stored(rows.select("linked", "alike").distinct())
+    several = lambda c: pairs.groupBy(c).agg(F.count("*").alias("n")).where("n > 1").select(c)
+    edges = stored(pairs.join(several("alike"), "alike", "left_semi").unionByName(pairs.join(several("linked"), "linked", "left_semi")).distinct())
+    roots = stored(components(edges.select(F.col("linked").alias("a"), F.col("alike").alias("b"))))
+    named = rows.join(roots.withColumnRenamed("node", "linked"), "linked", "left")
+    return named.select(*same, F.coalesce("root", "linked").alias("class_name"))
+
+
 def representatives(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``df``, unchanged, that stay: of each component the row of the
     smallest key (NULL keys last, equal keys by a hash of the text), and of repeated
     rows one. Rows that are alone in their component stay where they are."""
-    found = stored(nearness.classes(df, key, text))
+    found = stored(joint_classes(df, key, text))
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "digest")
     stays = found.groupBy("class_name").agg(F.min_by(F.struct("doc_id", "digest"), order).alias("k"), F.count("*").alias("n")).where("n > 1")
     none, value, digest, maybe = (free_name(df, n) for n in ("_near_null", "_near_key", "_near_digest", "_near_maybe"))
