@@ -39,6 +39,11 @@ END_ID = 1
 CACHE = 200_000
 #: Characters of a word that is kept.
 LONGEST = 100
+#: Marks that may follow letters. The vocabulary cuts between the two, never inside either. The
+#: apostrophe is left out: it may take letters along.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Runs of letters or marks that the library is given as one line.
+LINE = 256
 
 PIECE_SCHEMA = pa.schema(
     [
@@ -197,49 +202,97 @@ def little(ids: array) -> bytes:
     return ids.tobytes()
 
 
+def latin(text: str) -> bool:
+    """Whether all characters are of Latin-1, whose letters have one lower-case form each."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 class WordIds:
     """Ids of whole texts. The vocabulary drops white space and no token spans
     it, so ids are kept for each different word; a text that holds an added
-    token's string goes to the library as a whole."""
+    token's string goes to the library as a whole. Letters are encoded once for
+    all marks that follow them, and many of them in one line: the last id of each
+    run is one that ends a word."""
 
     def __init__(self, path: str):
         # Tasks take all cores already; threads of the library would only compete with them.
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_file(path)
+        # For runs of lower-case Latin-1: nothing to normalise, and spaces are the only cuts.
+        self.spaces = Tokenizer.from_file(path)
+        self.spaces.normalizer = None
+        self.spaces.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        suffix = getattr(self.library.model, "end_of_word_suffix", None)
+        self.ends = np.zeros(self.library.get_vocab_size() + 1, dtype=bool)
+        self.ends[[i for t, i in self.library.get_vocab().items() if suffix and t.endswith(suffix)]] = True
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         return [little(array("I", e.ids)) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn(self, words: set[str]) -> None:
-        """Every word of the set is in ``words`` afterwards."""
-        new = words - self.words.keys()
-        if len(self.words) + len(new) > CACHE:
+    def learn(self, words: set[str]) -> set[str]:
+        """Every word of the set is in ``words`` afterwards. Returned are those not worth keeping:
+        long ones, and those put together from letters and marks, which are kept."""
+        if len(self.words) > CACHE:
             self.older, self.words = self.words, {}
-            new = words
-        known = new & self.older.keys()
+        new = words - self.words.keys()
+        runs = {w for w in new if w.isalpha()}
+        new -= runs
+        cut = [(w, w.rstrip(MARKS)) for w in new]
+        marked = {w: (letters, w[len(letters) :]) for w, letters in cut if letters.isalpha() and (letters.isascii() or latin(letters))}
+        runs.update([letters for letters, _ in marked.values()], {tail for _, tail in marked.values()})
+        self.learn_runs(list(self.from_older(runs - self.words.keys())))
+        ids = self.words
+        ids.update([(w, ids[letters] + ids[tail]) for w, (letters, tail) in marked.items()])
+        rest = list(self.from_older(new - marked.keys()))
+        ids.update(zip(rest, self.encode(rest)))
+        return {*marked, *(w for some in (runs, rest) for w in some if len(w) > LONGEST)}
+
+    def from_older(self, words: set[str]) -> set[str]:
+        """Takes up those that were used before; the others are returned."""
+        known = words & self.older.keys()
         self.words.update((w, self.older[w]) for w in known)
-        unknown = list(new - known)
-        self.words.update(zip(unknown, self.encode(unknown)))
+        return words - known
+
+    def learn_runs(self, runs: list[str]) -> None:
+        """Runs of letters or of marks, many in one line. Each run holds one end of a word
+        at least, so if there are as many ends as runs, each has its own."""
+        ready = [r for r in runs if latin(r) and r == r.lower()]
+        for library, part in ((self.spaces, ready), (self.library, list(set(runs).difference(ready)))):
+            lines = [part[i : i + LINE] for i in range(0, len(part), LINE)]
+            for line, e in zip(lines, library.encode_batch_fast(list(map(" ".join, lines)), add_special_tokens=False)):
+                ids = np.array(e.ids, dtype="<u4")
+                ends = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
+                data = ids.tobytes()
+                if len(ends) == len(line) and ends[-1] == len(data):
+                    self.words.update([(w, data[a:b]) for w, a, b in zip(line, [0, *ends], ends)])
+                else:  # a vocabulary that cuts otherwise
+                    self.words.update(zip(line, self.encode(line)))
 
     @staticmethod
     def cut(text: str) -> list[str]:
-        """Words; those of plain ASCII in lower case, which the library makes of them anyhow."""
-        return (text.lower() if text.isascii() else text).replace("\n", " ").split(" ")
+        """Words; those of Latin-1 texts in lower case, which the library makes of them anyhow
+        (elsewhere the two may differ, as for a last sigma)."""
+        return (text.lower() if latin(text) else text).replace("\n", " ").split(" ")
 
     def of(self, texts: list[str]) -> list[bytes]:
         split = [None if "<|" in t and any(a in t for a in self.added) else self.cut(t) for t in texts]
         used = set().union(*(words for words in split if words is not None))
-        self.learn(used)
+        passing = self.learn(used)
         known = self.words.__getitem__
         out = [self.encode([t])[0] if words is None else b"".join(map(known, words)) for t, words in zip(texts, split)]
-        for word in used:
-            if len(word) > LONGEST:
-                del self.words[word]
+        for word in passing:
+            del self.words[word]
         return out
 
 
@@ -290,7 +343,7 @@ def pack_texts(
     def examples(batch: pa.RecordBatch) -> Iterator[Example]:
         ids = word_ids(path)
         keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        for a, b in in_blocks(texts):
+        for a, b in in_blocks(texts, 512):
             for k, found in zip(keys[a:b], ids.of(texts[a:b])):
                 found += end
                 yield Example(k, found, None, 0, len(found) // 4)

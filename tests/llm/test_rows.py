@@ -277,3 +277,17 @@ def test_language_equals_the_formula(spark):
         prior = (host + 4 * prior) / (host.sum() + 4)
         p = language.softmax(log[i] + np.log(held[marks[i]] / sum(held.values())) + np.log(prior))
         assert r["lang"] == langs[int(p.argmax())] and r["probability"] == pytest.approx(p.max(), rel=1e-9)
+
+
+def test_letters_are_encoded_once_for_all_marks_and_cases():
+    path = tokenizer_path(packing.VOCABULARY)
+    ids, asked = packing.WordIds(path), []
+    encode, learn_runs = ids.encode, ids.learn_runs
+    ids.encode = lambda texts: asked.extend(texts) or encode(texts)
+    ids.learn_runs = lambda runs: asked.extend(runs) or learn_runs(runs)
+    ids.of(["Zwölfling zwölfling, ZWÖLFLING!! zwölfling... (x"])
+    assert sorted(asked) == ["!!", "(x", ",", "...", "zwölfling"]
+    odd = ["Dİ!! dİ İ ΟΔΟΣ, οδος. ÿŸ; éa, café! don't, 'tis ab's!! ª² º! ß_ µ- ẞ? a b, İ!" + "q" * 200 + "," + "w" * 120 + "!" * 150 + " " + "!" * 150, "ﬁn, ǅ! ² ½ 12, ３４!"]
+    for text in odd:
+        assert ids.of([text]) == encode([text])
+    assert not any(len(w) > packing.LONGEST or w == "zwölfling," for w in ids.words)
