@@ -35,8 +35,10 @@ from staylens.llm.shared import in_blocks, keyed_texts, pieces, tokenizer_path
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
-#: Words whose ids one Python worker keeps: so many newer ones, and as many used before them.
-CACHE = 200_000
+#: Runs whose ids one Python worker keeps: so many newer ones, and as many used before them; those of one block come on top.
+CACHE = 100_000
+#: Characters of the texts whose words are Python objects at once (one text at least).
+BLOCK = 500_000
 #: Characters of a word that is kept.
 LONGEST = 100
 #: Marks that may follow letters. The vocabulary cuts between the two, never inside either. The
@@ -224,9 +226,8 @@ class WordIds:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_file(path)
-        # For runs of lower-case Latin-1: nothing to normalise, and spaces are the only cuts.
-        self.spaces = Tokenizer.from_file(path)
-        self.spaces.normalizer = None
+        # For runs of lower-case Latin-1: nothing to normalise, and spaces are the only cuts. The model is shared.
+        self.spaces = Tokenizer(self.library.model)
         self.spaces.pre_tokenizer = pre_tokenizers.Sequence(
             [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
         )
@@ -343,7 +344,7 @@ def pack_texts(
     def examples(batch: pa.RecordBatch) -> Iterator[Example]:
         ids = word_ids(path)
         keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        for a, b in in_blocks(texts, 512):
+        for a, b in in_blocks(texts, 512, BLOCK):
             for k, found in zip(keys[a:b], ids.of(texts[a:b])):
                 found += end
                 yield Example(k, found, None, 0, len(found) // 4)
