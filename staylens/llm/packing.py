@@ -19,6 +19,7 @@ moves, and what a pool leaves over goes into the next one.
 from __future__ import annotations
 
 import os
+import re
 import sys
 import zlib
 from array import array
@@ -31,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staylens.llm.shared import in_blocks, keyed_texts, pieces, tokenizer_path
+from staylens.llm.shared import in_blocks, keyed_texts, pieces, small_batches, tokenizer_path
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
@@ -44,6 +45,8 @@ LONGEST = 100
 #: Marks that may follow letters. The vocabulary cuts between the two, never inside either. The
 #: apostrophe is left out: it may take letters along.
 MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Marks at the end of a word, after a letter of Latin-1 or a digit. What is searched for is the mark, since there are fewer.
+ENDING = re.compile("[{0}](?<=[0-9A-Za-zªµºÀ-ÖØ-öø-ÿ][{0}])[{0}]*(?= |\\Z)".format(re.escape(MARKS)))
 #: Runs of letters or marks that the library is given as one line.
 LINE = 256
 
@@ -216,9 +219,9 @@ def latin(text: str) -> bool:
 class WordIds:
     """Ids of whole texts. The vocabulary drops white space and no token spans
     it, so ids are kept for each different word; a text that holds an added
-    token's string goes to the library as a whole. Letters are encoded once for
-    all marks that follow them, and many of them in one line: the last id of each
-    run is one that ends a word."""
+    token's string goes to the library as a whole. Marks that end a word are a word
+    of their own, so letters are encoded once for all that follow them, and many of
+    them in one line: the last id of each run is one that ends a word."""
 
     def __init__(self, path: str):
         # Tasks take all cores already; threads of the library would only compete with them.
@@ -242,22 +245,15 @@ class WordIds:
         return [little(array("I", e.ids)) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def learn(self, words: set[str]) -> set[str]:
-        """Every word of the set is in ``words`` afterwards. Returned are those not worth keeping:
-        long ones, and those put together from letters and marks, which are kept."""
+        """Every word of the set is in ``words`` afterwards. Returned are those not worth keeping, the long ones."""
         if len(self.words) > CACHE:
             self.older, self.words = self.words, {}
-        new = words - self.words.keys()
-        runs = {w for w in new if w.isalpha()}
-        new -= runs
-        cut = [(w, w.rstrip(MARKS)) for w in new]
-        marked = {w: (letters, w[len(letters) :]) for w, letters in cut if letters.isalpha() and (letters.isascii() or latin(letters))}
-        runs.update([letters for letters, _ in marked.values()], {tail for _, tail in marked.values()})
-        self.learn_runs(list(self.from_older(runs - self.words.keys())))
-        ids = self.words
-        ids.update([(w, ids[letters] + ids[tail]) for w, (letters, tail) in marked.items()])
-        rest = list(self.from_older(new - marked.keys()))
-        ids.update(zip(rest, self.encode(rest)))
-        return {*marked, *(w for some in (runs, rest) for w in some if len(w) > LONGEST)}
+        new = self.from_older(words - self.words.keys())
+        runs = [w for w in new if w.isalpha() or not w.strip(MARKS)]
+        self.learn_runs(runs)
+        rest = list(new.difference(runs))
+        self.words.update(zip(rest, self.encode(rest)))
+        return {w for some in (runs, rest) for w in some if len(w) > LONGEST}
 
     def from_older(self, words: set[str]) -> set[str]:
         """Takes up those that were used before; the others are returned."""
@@ -283,8 +279,8 @@ class WordIds:
     @staticmethod
     def cut(text: str) -> list[str]:
         """Words; those of Latin-1 texts in lower case, which the library makes of them anyhow
-        (elsewhere the two may differ, as for a last sigma)."""
-        return (text.lower() if latin(text) else text).replace("\n", " ").split(" ")
+        (elsewhere the two may differ, as for a last sigma). Marks that end a word stand alone."""
+        return ENDING.sub(r" \g<0>", (text.lower() if latin(text) else text).replace("\n", " ")).split(" ")
 
     def of(self, texts: list[str]) -> list[bytes]:
         split = [None if "<|" in t and any(a in t for a in self.added) else self.cut(t) for t in texts]
@@ -320,6 +316,7 @@ def _pack(rows: DataFrame, examples: Callable[[pa.RecordBatch], Iterator[Example
         for first in bins:  # the key's type is known once a row was read
             yield from piece_rows((b for part in ([first], bins) for b in part), kinds[0])
 
+    small_batches(rows.sparkSession)
     kind = rows.schema[0].dataType.simpleString()
     fields = ", ".join(f"`{n}` bigint" for n in PIECE_SCHEMA.names)
     return rows.mapInArrow(packed, f"doc_id {kind}, {fields}")

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staylens.llm.boosting import Boosted, platt, sigmoid
-from staylens.llm.shared import keyed_texts, pieces, stored
+from staylens.llm.shared import keyed_texts, pieces, small_batches, stored
 
 #: Base formats, in the order in which kinds are listed. An ip begins where
 #: its run of digits does, as the leftmost match does anyhow; said so, long runs are read once.
@@ -315,6 +315,7 @@ def redacted(text: str, model: Model) -> str:
 def redact(df: DataFrame, model: Model | None = None, text: str = "text") -> DataFrame:
     """``df`` with personal data in its text replaced; no row goes, other columns
     stay. NULL stays NULL."""
+    small_batches(df.sparkSession)
     model = model or learned(df.select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")))
     at = df.columns.index(text)
 

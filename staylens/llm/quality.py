@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from staylens.llm.boosting import sigmoid
-from staylens.llm.shared import keyed_texts, pieces, stored
+from staylens.llm.shared import keyed_texts, pieces, small_batches, stored
 
 SLOTS = 8192
 SIZE = 32
@@ -261,6 +261,7 @@ def scores(df: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: fl
 def kept(df: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``df``, unchanged, whose text scores ``threshold`` or more. Texts
     are pooled again instead of joined to their scores, which moves no text."""
+    small_batches(df.sparkSession)
     rows = keyed_texts(df, key, text)
     vectors = word_vectors(rows)
     known = labelled(rows, labels, sample)

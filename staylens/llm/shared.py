@@ -12,6 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SEED = 42
+#: Bytes of an Arrow batch that goes to Python. Spark's own limit is 10 000 rows, which for texts are tens of MB,
+#: and each task holds several copies: rows, buffers, what the worker reads.
+BATCH = "2m"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -41,6 +44,13 @@ def stored(df: DataFrame, *partition_by: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of few MB, unless the session names a limit itself."""
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(limit, None) is None:
+        spark.conf.set(limit, BATCH)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

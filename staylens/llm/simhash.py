@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from staylens.llm import nearness
 from staylens.llm.components import components
-from staylens.llm.shared import free_name, maybe_among, SEED, keyed_texts, stored
+from staylens.llm.shared import free_name, maybe_among, SEED, keyed_texts, small_batches, stored
 
 BITS = 64
 RADIUS = 3
@@ -239,6 +239,7 @@ def representatives(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     """The rows of ``df``, unchanged, that stay: of each component the row of the
     smallest key (NULL keys last, equal keys by a hash of the text), and of repeated
     rows one. Rows that are alone in their component stay where they are."""
+    small_batches(df.sparkSession)
     found = stored(joint_classes(df, key, text))
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "digest")
     stays = found.groupBy("class_name").agg(F.min_by(F.struct("doc_id", "digest"), order).alias("k"), F.count("*").alias("n")).where("n > 1")

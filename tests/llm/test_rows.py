@@ -4,6 +4,7 @@ import hashlib
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -291,3 +292,26 @@ def test_letters_are_encoded_once_for_all_marks_and_cases():
     for text in odd:
         assert ids.of([text]) == encode([text])
     assert not any(len(w) > packing.LONGEST or w == "zwölfling," for w in ids.words)
+
+
+def test_marks_that_end_a_word_are_words_of_their_own():
+    ids, asked = packing.WordIds(tokenizer_path(packing.VOCABULARY)), []
+    learn = ids.learn
+    ids.learn = lambda words: asked.extend(words) or learn(words)
+    texts = ["noon, noon. (noon 12, 12. über), it's, x!'s 'd, ΟΣ, οΣ1, ¿a? -- a.b", "aΣ.a, Σ, Σa. é, é, ...", "a, ¡b! \t c,\td"]
+    assert ids.of(texts) == ids.encode(texts)
+    assert {"noon", ",", ".", "12", "über", "),"} <= set(asked) and not {"noon,", "noon.", "12,", "über),", "a,"} & set(asked)
+
+
+def test_texts_go_to_python_a_few_mb_at_a_time(spark, tmp_path, monkeypatch):
+    """Also where a table's rows would all fit one batch of Spark's 10 000 rows."""
+    spark.range(0, 400, 1, 1).selectExpr("id as doc_id", "repeat(concat('noon ', id, ' '), 3000) as text").write.parquet(f"{tmp_path}/d")
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    rows = packing.pack_texts(spark.read.parquet(f"{tmp_path}/d"))
+    assert rows.select("doc_id").distinct().count() == 400
+
+    def sizes(batches):
+        yield from (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"]) for b in batches)
+
+    found = [r["n"] for r in spark.read.parquet(f"{tmp_path}/d").mapInArrow(sizes, "n bigint").collect()]
+    assert sum(found) > 9_000_000 and max(found) < 4_000_000
